@@ -138,7 +138,7 @@ _TABLES = {
     "all_probs": """SELECT word, list(p ORDER BY topic) AS topic_probs FROM (
         SELECT word, topic, CAST(weight AS DOUBLE) / sum(CAST(weight AS DOUBLE)) OVER (PARTITION BY topic) AS p FROM weights) GROUP BY word""",
     "probs": "SELECT * FROM all_probs WHERE word IN (SELECT word FROM counts GROUP BY word HAVING sum(word_count) > 1)",
-    "scored": f"""SELECT w.*, round(coalesce({_DOT}, 0), 6) AS score FROM worded w
+    "scored": f"""SELECT w.*, coalesce({_DOT}, 0) AS score FROM worded w
         LEFT JOIN mix ON document_name = clientip LEFT JOIN probs USING (word)""",
 }
 
@@ -174,7 +174,8 @@ _SELECTS = {
     "ingest_job_table": f"SELECT {_PARSED_COLUMNS}, {_TYPED}, orig_timestamp, iso_timestamp, epoch_timestamp, event_date FROM records",
     "ingest_job_rejects": f"SELECT raw, error, {_STAGE} FROM line_facts WHERE error IS NOT NULL",
     "partitioned_write": "SELECT p_date, count(*) AS records, count(DISTINCT clientip) AS clients FROM clean GROUP BY p_date",
-    "preview": "SELECT clientip, p_date, p_time, word, score FROM scored ORDER BY score, clientip, p_date, p_time, word LIMIT 20",
+    "preview": """SELECT clientip, p_date, p_time, word, round(score, 6) AS score FROM (
+        SELECT * FROM scored ORDER BY score, clientip, p_date, p_time, word LIMIT 20)""",
     # parsing and cleansing
     "nonblank_lines": "SELECT value FROM lines WHERE trim(value) <> ''",
     "quoted_field_split": f"""SELECT raw AS value, CASE WHEN event_id % 41 = 0 THEN NULL
@@ -224,7 +225,7 @@ _SELECTS = {
     "missing_filled": "SELECT event_id, coalesce(csUserAgent, '-') AS useragent, coalesce(rsContentType, '-') AS resconttype FROM pv",
     "cleaned_records": f"SELECT {_CLEAN} FROM clean",
     "records_with_word": f"SELECT {_CLEAN}, word FROM worded WHERE word <> 'word_error'",
-    "suspicious_records": f"SELECT {_CLEAN}, word, score FROM scored WHERE score <= 0 AND score > -1",
+    "suspicious_records": f"SELECT {_CLEAN}, word, round(score, 6) AS score FROM scored WHERE score <= 0 AND score > -1",
     # scalar features
     "domain_parts": "SELECT host, domain, subdomain FROM clean JOIN domains USING (host)",
     "country_code_strip": "SELECT host, array_to_string(b, '|') AS labels FROM clean JOIN without_country USING (host)",
@@ -271,13 +272,13 @@ _SELECTS = {
         n AS count FROM clean JOIN domains USING (host) JOIN agents USING (useragent)""",
     "records_with_mix": f"SELECT clientip, fulluri, {_rounded_text('topic_prob_mix')} AS mix FROM clean LEFT JOIN mix ON document_name = clientip",
     "records_with_mix_shuffled": f"SELECT clientip, fulluri, {_rounded_text('topic_prob_mix')} AS mix FROM clean LEFT JOIN mix ON document_name = clientip",
-    "least_likely_records": "SELECT clientip, p_date, p_time, word, score FROM scored ORDER BY score, clientip, p_date, p_time, word",
+    "least_likely_records": "SELECT clientip, p_date, p_time, word, round(score, 6) AS score FROM scored",
     # topic model and scoring
     "mini_batch_fraction": """SELECT count(DISTINCT clientip) AS documents,
         round(CASE WHEN count(DISTINCT clientip) < 2 THEN 0.75 ELSE 1.05 / count(DISTINCT clientip) END, 6) AS fraction FROM counts""",
     "pair_scores": f"""SELECT clientip, word, round(coalesce({_DOT}, 0), 6) AS score FROM counts
         LEFT JOIN mix ON document_name = clientip LEFT JOIN probs USING (word)""",
-    "scored_records": f"SELECT {_CLEAN}, word, score FROM scored",
+    "scored_records": f"SELECT {_CLEAN}, word, round(score, 6) AS score FROM scored",
 }
 
 ORACLES = {name: _sql(select) for name, select in _SELECTS.items()}

@@ -13,6 +13,7 @@ from proxysift import operators as op
 from proxysift.operators.topics import batch_fraction
 from proxysift.plans import detect_anomalies, run_job, train
 from proxysift.plans.ingest_job import proxy_table
+from proxysift.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -482,7 +483,7 @@ def dominant_topic_share(spark, sf_dir):
 
 @query
 def word_probabilities(spark, sf_dir):
-    probs = op.normalise_weights(t.fixed_weights(spark, sf_dir))
+    probs = op.normalise_weights(t.fixed_weights(t.worded(spark, sf_dir)))
     return probs.select("word", rounded_text(F.col("topic_probs"), "probs"))
 
 
@@ -551,8 +552,9 @@ def mini_batch_fraction(spark, sf_dir):
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mix, probs = t.fixed_mix(spark, sf_dir), t.fixed_probs(spark, sf_dir)
-    return op.score_records(t.worded(spark, sf_dir), mix, probs, t.TOPICS)
+    records = durable(t.worded(spark, sf_dir))
+    mix, probs = t.fixed_mix(spark, sf_dir), t.fixed_probs(records)
+    return op.score_records(records, mix, probs, t.TOPICS)
 
 
 @query
@@ -576,9 +578,9 @@ def topic_mix_of_documents(spark, sf_dir):
 
 @query
 def pair_scores(spark, sf_dir):
-    scored = op.score_pairs(
-        t.word_counts(spark, sf_dir), t.fixed_mix(spark, sf_dir), t.fixed_probs(spark, sf_dir), t.TOPICS
-    )
+    records = durable(t.worded(spark, sf_dir))
+    counts = op.document_word_counts(records)
+    scored = op.score_pairs(counts, t.fixed_mix(spark, sf_dir), t.fixed_probs(records), t.TOPICS)
     return scored.select("clientip", "word", rounded(F.col("score"), "score"))
 
 

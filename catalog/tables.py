@@ -160,9 +160,8 @@ def fixed_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fixed_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fixed_weights(records: DataFrame) -> DataFrame:
     """``word, topic, weight``: records of a word by second of the minute, plus one."""
-    records = worded(spark, sf_dir)
     bucket = F.split_part("p_time", F.lit(":"), F.lit(3)).cast("int") % TOPICS
     weights = [(F.count_if(bucket == t) + 1).cast("double").alias(f"w{t}") for t in range(TOPICS)]
     wide = records.groupBy("word").agg(*weights)
@@ -171,9 +170,8 @@ def fixed_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fixed_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fixed_probs(records: DataFrame) -> DataFrame:
     """``word, topic_probs`` of the words seen at least twice; the others count as unseen."""
-    weights = fixed_weights(spark, sf_dir)
-    probs = op.normalise_weights(weights)
-    seen = word_counts(spark, sf_dir).groupBy("word").agg(F.sum("word_count").alias("n"))
-    return probs.join(seen.where("n > 1").select("word"), "word", "left_semi")
+    seen = records.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    probs = op.normalise_weights(fixed_weights(records))
+    return durable(probs.join(seen.select("word"), "word", "left_semi"))

@@ -22,6 +22,9 @@ def with_bound(df: DataFrame, name: str, value: Column) -> DataFrame:
 
     The optimizer moves a filter below a projection by copying the projected expression
     into the filter. It does not move one below a generator, so a one-element ``explode``
-    keeps the value computed once.
+    of the projected value keeps it computed once.
     """
-    return df.select("*", F.explode(F.array(value)).alias(name))
+    held = f"_{name}_held"
+    return df.withColumn(held, value).select(
+        *df.columns, F.explode(F.array(held)).alias(name)
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,9 +32,14 @@ def rename_columns(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(schemas.CLEAN_NAMES)
 
 
+def _present(df: DataFrame, *names: str) -> DataFrame:
+    """Rows in which every named column has a value, as conditions a scan can take over."""
+    return df.where(reduce(lambda left, right: left & right, [F.col(n).isNotNull() for n in names]))
+
+
 def drop_incomplete(df: DataFrame) -> DataFrame:
     """Keep records that have a date, a time, a client, a host and a URI."""
-    return df.dropna(subset=["p_date", "p_time", "clientip", "host", "fulluri"])
+    return _present(df, "p_date", "p_time", "clientip", "host", "fulluri")
 
 
 def fill_missing(df: DataFrame) -> DataFrame:
@@ -46,7 +53,7 @@ def clean_records(df: DataFrame) -> DataFrame:
     conditions reach the Parquet scan.
     """
     return (
-        df.dropna(subset=["timestamp", "cIp", "csHost", "csUriPath"])
+        _present(df, "timestamp", "cIp", "csHost", "csUriPath")
         .transform(split_timestamp)
         .transform(compose_uri)
         .transform(rename_columns)

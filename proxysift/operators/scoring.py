@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from proxysift import constants as C
 from proxysift.functions import dot, widen
+from proxysift.functions.binding import with_bound
 from proxysift.operators.lookup import lookup_join
 
 TIE_BREAKERS = ("clientip", "p_date", "p_time", "word")
@@ -27,7 +28,7 @@ def score_records(df: DataFrame, mix: DataFrame, probs: DataFrame, topics: int)
     by_word = probs.select("word", F.col("topic_probs").alias("_probs"))
     joined = lookup_join(lookup_join(df, by_word, "word"), by_client, "clientip")
     score = word_score(F.col("_mix"), F.col("word"), F.col("_probs"), topics)
-    return joined.select(*df.columns, score.alias("score"))
+    return with_bound(joined, "score", score).select(*df.columns, "score")
 
 
 def score_pairs(counts: DataFrame, mix: DataFrame, probs: DataFrame, topics: int) -> DataFrame:
