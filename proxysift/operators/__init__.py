@@ -22,7 +22,7 @@ from proxysift.operators.ingest import (
     timestamp_index,
     with_converted_time,
 )
-from proxysift.operators.lookup import lookup_join, measured_bytes
+from proxysift.operators.lookup import fits_broadcast, lookup_join, measured_bytes
 from proxysift.operators.scoring import (
     filter_suspicious,
     least_likely_first,
@@ -44,7 +44,7 @@ __all__ = [
     "accepted", "adapt_for_analysis", "agent_counts", "batch_fraction", "cast_columns",
     "clean_records", "compose_uri", "dense_index", "document_dictionary",
     "document_word_counts", "drop_incomplete", "fill_missing", "filter_suspicious",
-    "fit_topics", "least_likely_first", "long_corpus", "lookup_join", "measured_bytes",
+    "fit_topics", "fits_broadcast", "least_likely_first", "long_corpus", "lookup_join", "measured_bytes",
     "mix_by_document_name", "normalise_weights", "parse_csv", "parse_lines",
     "record_table", "rejected", "rename_columns", "score_pairs", "score_records",
     "split_timestamp", "timestamp_index", "topic_mix", "topic_weights", "vector_corpus",

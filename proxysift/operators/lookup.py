@@ -28,6 +28,11 @@ def measured_bytes(table: DataFrame) -> int:
     return table.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 
+def fits_broadcast(table: DataFrame, limit_bytes: int = C.BROADCAST_LIMIT_BYTES) -> bool:
+    """Whether the measured table is small enough to be sent to every executor."""
+    return measured_bytes(table) <= limit_bytes
+
+
 def lookup_join(
     records: DataFrame,
     table: DataFrame,
@@ -41,5 +46,5 @@ def lookup_join(
     larger one is sort-merge joined on the key; adaptive execution then splits the
     partitions of hot keys by map output, which keeps the result whole and needs no salt.
     """
-    fits = measured_bytes(table) <= limit_bytes
-    return records.join(F.broadcast(table) if fits else table.hint("merge"), on, how)
+    small = fits_broadcast(table, limit_bytes)
+    return records.join(F.broadcast(table) if small else table.hint("merge"), on, how)

@@ -8,15 +8,18 @@ from pyspark import StorageLevel
 from pyspark.ml.clustering import LDAModel
 from pyspark.sql import DataFrame
 
+from proxysift import constants as C
 from proxysift.operators import (
     agent_counts,
     document_word_counts,
     filter_suspicious,
     fit_topics,
+    fits_broadcast,
     least_likely_first,
     lookup_join,
     normalise_weights,
     score_pairs,
+    score_records,
     topic_mix,
     topic_weights,
     vector_corpus,
@@ -60,10 +63,27 @@ def train(records: DataFrame, ranked: DataFrame, params: AnalysisParams) -> Trai
     return Trained(model, worded, counts, mix, probs)
 
 
-def detect_anomalies(records: DataFrame, ranked: DataFrame, params: AnalysisParams) -> DataFrame:
-    """Suspicious records with their ``word`` and ``score``, least likely first."""
+def detect_anomalies(
+    records: DataFrame,
+    ranked: DataFrame,
+    params: AnalysisParams,
+    limit_bytes: int = C.BROADCAST_LIMIT_BYTES,
+) -> DataFrame:
+    """Suspicious records with their ``word`` and ``score``, least likely first.
+
+    While the topic mixes of all clients can be broadcast, every record is scored where it
+    is read. Beyond that the distinct (client, word) pairs are scored and filtered first,
+    and the records meet only the suspicious pairs: a key of client and word spreads a busy
+    client over many partitions, and a record carries no topic array through the shuffle.
+    """
     trained = train(records, ranked, params)
-    pairs = score_pairs(trained.counts, trained.mix, trained.probs, params.topics)
-    suspicious = durable(filter_suspicious(pairs, params.threshold))
-    scored = lookup_join(trained.worded, suspicious, ["clientip", "word"], "inner")
-    return least_likely_first(scored.select(*trained.worded.columns, "score"), params.top)
+    worded = trained.worded
+    if fits_broadcast(trained.mix, limit_bytes):
+        scored = score_records(worded, trained.mix, trained.probs, params.topics)
+        suspicious = filter_suspicious(scored, params.threshold)
+    else:
+        pairs = score_pairs(trained.counts, trained.mix, trained.probs, params.topics)
+        unlikely = durable(filter_suspicious(pairs, params.threshold))
+        matched = lookup_join(worded, unlikely, ["clientip", "word"], "inner", limit_bytes)
+        suspicious = matched.select(*worded.columns, "score")
+    return least_likely_first(suspicious, params.top)

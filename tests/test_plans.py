@@ -63,15 +63,14 @@ def test_analysis_end_to_end(spark, stored, tmp_path):
     trained = train(records, ranked, params)
     for row in trained.probs.collect():
         assert len(row.topic_probs) == 4 and all(0 <= p <= 1 for p in row.topic_probs)
-    by_records = op.least_likely_first(
-        op.filter_suspicious(op.score_records(trained.worded, trained.mix, trained.probs, 4), 0.5)
-    )
     found = detect_anomalies(records, ranked, params)
     scores = [row.score for row in found.collect()]
     assert scores == sorted(scores) and all(0 <= s <= 0.5 for s in scores)
     assert found.columns == [*records.columns, "word", "score"]
-    assert len(scores) == by_records.count() == records.count()
-    assert scores == pytest.approx([row.score for row in by_records.collect()], abs=1e-12)
+    assert len(scores) == records.count()
+    by_pairs = detect_anomalies(records, ranked, params, limit_bytes=0)
+    assert "SortMergeJoin" in plan(by_pairs)
+    assert [row.score for row in by_pairs.collect()] == pytest.approx(scores, abs=1e-12)
     assert (tmp_path / "model" / "metadata").exists()
     top = detect_anomalies(records, ranked, AnalysisParams(topics=4, iterations=5, top=7))
     assert top.count() == 7 and "TakeOrderedAndProject" in plan(top)
