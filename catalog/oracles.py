@@ -114,9 +114,9 @@ _TABLES = {
         SELECT fulluri AS s FROM clean UNION SELECT html FROM pages UNION SELECT subdomain FROM domains)""",
     "shares": """SELECT s, count(*) / length(s) AS p FROM characters GROUP BY s, ch""",
     "entropies": """SELECT s, sum(-p * log10(p) / log10(2)) AS h FROM shares GROUP BY s""",
-    "bins": """SELECT s, CASE WHEN h > 5.4 THEN 19 ELSE len(list_filter(
+    "bins": """SELECT s, CASE WHEN h > 5.4 THEN 19 ELSE CAST(len(list_filter(
         [0.0, 0.3, 0.6, 0.9, 1.2, 1.5, 1.8, 2.1, 2.4, 2.7, 3.0, 3.3, 3.6, 3.9, 4.2, 4.5, 4.8, 5.1, 5.4]::DOUBLE[],
-        lambda c: c < h)) END AS bin FROM entropies""",
+        lambda c: c < h)) AS INTEGER) END AS bin FROM entropies""",
     "agents": "SELECT useragent, count(*) AS n FROM clean GROUP BY useragent",
     "worded": """SELECT c.*, p.popularity || '_' || CAST(split_part(p_time, ':', 1) AS INTEGER) || '_'
         || coalesce(reqmethod, 'null') || '_' || b.bin || '_'
@@ -233,8 +233,8 @@ _SELECTS = {
         THEN a[1:len(a) - 1] ELSE a END, '|') AS labels FROM clean JOIN labels USING (host)""",
     "domain_features": """SELECT host, domain,
         CASE WHEN domain = 'shop' THEN 2 WHEN domain IN (SELECT label FROM ranking) THEN 1 ELSE 0 END AS "topDomain",
-        subdomain, CASE WHEN subdomain = 'None' THEN 0 ELSE length(subdomain) END AS "subdomainLength",
-        CASE WHEN subdomain = 'None' THEN 0.0 ELSE round(h, 6) END AS "subdomainEntropy", len(a) AS "numPeriods"
+        subdomain, CASE WHEN subdomain = 'None' THEN 0 ELSE CAST(length(subdomain) AS INTEGER) END AS "subdomainLength",
+        CASE WHEN subdomain = 'None' THEN 0.0 ELSE round(h, 6) END AS "subdomainEntropy", CAST(len(a) AS INTEGER) AS "numPeriods"
         FROM clean JOIN domains USING (host) JOIN entropies ON s = subdomain""",
     "domain_popularity": "SELECT host, popularity FROM clean JOIN popularity USING (host)",
     "uri_entropy": "SELECT fulluri, round(h, 6) AS entropy FROM clean JOIN entropies ON s = fulluri",

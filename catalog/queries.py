@@ -448,7 +448,7 @@ def corpus_long(spark, sf_dir):
 def _corpus(spark: SparkSession, sf_dir: str):
     counts = t.word_counts(spark, sf_dir)
     words = op.word_dictionary(counts)
-    corpus = op.vector_corpus(counts, words, words.count()).persist()
+    corpus = durable(op.vector_corpus(counts, words, words.count())).persist()
     return corpus, corpus.count(), words
 
 

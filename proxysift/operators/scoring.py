@@ -46,6 +46,14 @@ def filter_suspicious(scored: DataFrame, threshold: float = C.SCORE_THRESHOLD) -
 
 
 def least_likely_first(scored: DataFrame, top: int | None = None) -> DataFrame:
-    """Ascending by score, ties broken by client, time and word; ``top`` keeps the first ones."""
-    ranked = scored.orderBy("score", *[name for name in TIE_BREAKERS if name in scored.columns])
-    return ranked if top is None else ranked.limit(top)
+    """Ascending by score; ``top`` keeps the first ones.
+
+    Ties are broken by client, time, word, then the other columns. Copies of one record,
+    which may be a large share of all, are spread by the partition they come from, so that
+    the range sort can divide them; that number is the same when a task is run again.
+    """
+    ties = [name for name in TIE_BREAKERS if name in scored.columns]
+    others = [name for name in scored.columns if name not in ("score", *ties)]
+    placed = scored.withColumn("_source", F.spark_partition_id())
+    ordered = placed.orderBy("score", *ties, *others, "_source").drop("_source")
+    return ordered if top is None else ordered.limit(top)

@@ -17,17 +17,30 @@ RUNTIME_SETTINGS = {
     "spark.sql.maxConcurrentOutputFileWriters": "32",
 }
 
+SHUFFLE_PARTITION_BYTES = 64 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 100_000
+
 STATIC_SETTINGS = {
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 
-def build_session(app_name: str = "proxysift", master: str | None = None, **extra: str) -> SparkSession:
-    """Create (or fetch) a session; the cluster's own sizing settings are left alone."""
+def build_session(
+    app_name: str = "proxysift", master: str | None = None, input_bytes: int = 0, **extra: str
+) -> SparkSession:
+    """Create (or fetch) a session; the cluster's own sizing settings are left alone.
+
+    Adaptive execution merges small shuffle partitions but starts from a fixed number of
+    them. Name the size of the input to start from one per 64 MB of it.
+    """
+    settings = {**STATIC_SETTINGS, **RUNTIME_SETTINGS}
+    if input_bytes:
+        parts = min(max(input_bytes // SHUFFLE_PARTITION_BYTES, 200), MOST_SHUFFLE_PARTITIONS)
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(parts)
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**STATIC_SETTINGS, **RUNTIME_SETTINGS, **extra}.items():
+    for key, value in {**settings, **extra}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 

@@ -222,3 +222,15 @@ def test_threshold_and_order(spark):
     kept = op.least_likely_first(op.filter_suspicious(df, 0.5))
     assert [r.score for r in kept.collect()] == [0.0, 0.2, 0.5]
     assert [r.score for r in op.least_likely_first(df, top=2).collect()] == [-1.0, 0.0]
+
+
+def test_copies_are_divided_by_the_sort(spark):
+    """Identical rows do not all meet in one task of the final sort."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        copies = spark.range(0, 40000, 1, 8).select(F.lit("ip").alias("clientip"), F.lit(0.25).alias("score"))
+        ordered = op.least_likely_first(copies).withColumn("part", F.spark_partition_id())
+        sizes = [r["count"] for r in ordered.groupBy("part").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == 40000 and len(sizes) > 4 and max(sizes) < 20000
