@@ -41,11 +41,15 @@ def _edges(tokens: Column) -> Column:
 
 
 def _fields(tokens: Column, edges: Column) -> Column:
+    def between(first: Column, last: Column) -> Column:
+        # Not slice(), which copies all tokens for every piece.
+        picked = F.transform(F.sequence(first, last), lambda k: F.get(tokens, k))
+        return F.when(first <= last, picked).otherwise(F.array().cast("array<string>"))
+
     def piece(i: Column) -> Column:
         start, end = F.get(edges, i), F.get(edges, i + 1)
-        plain = F.slice(tokens, start + 2, end - start - 1)
-        quoted = F.array(F.array_join(F.slice(tokens, start + 1, end - start + 1), " "))
-        return F.when(i % 2 == 0, plain).otherwise(quoted)
+        quoted = F.array(F.array_join(between(start, end), " "))
+        return F.when(i % 2 == 0, between(start + 1, end - 1)).otherwise(quoted)
 
     pieces = F.transform(F.sequence(F.lit(0), F.size(edges) - 2), piece)
     return F.when(F.size(edges) % 2 == 0, F.flatten(pieces))
