@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from proxysift import operators as op
 from proxysift import sources
-from proxysift.session import durable
+from proxysift.session import durable, shared_folder
 
 TOPICS = 20
 
@@ -93,10 +93,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared checkpoint folder."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        durable(spark.range(1))
-    return f"{context.getCheckpointDir()}/{name}-{uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
 
 
 def proxy_view(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,4 +86,7 @@ def detect_anomalies(
         unlikely = durable(filter_suspicious(pairs, params.threshold))
         matched = lookup_join(worded, unlikely, ["clientip", "word"], "inner", limit_bytes)
         suspicious = matched.select(*worded.columns, "score")
+    if params.top is None:
+        # A full sort samples its input before it reads it; the words are not made twice.
+        suspicious = durable(suspicious)
     return least_likely_first(suspicious, params.top)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,13 +53,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and return a frame that reads it.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Used for small derived tables (counts, dictionaries, the corpus) that feed several
-    later jobs: a lost executor then costs a re-read of this table, not of the logs.
+    A local run without that setting gets a temporary folder; a cluster must name one that
+    all executors share.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir", None)
         if folder is None:
@@ -66,4 +67,17 @@ def durable(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="proxysift-")
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table below the shared folder and return it read back.
+
+    Used for derived tables (counts, dictionaries, the corpus) that feed several later jobs.
+    It cuts the lineage: a lost executor costs a re-read of this table, not of the logs, and
+    a later job reads only the columns it needs.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
