@@ -515,7 +515,7 @@ def mix_with_document_name(spark, sf_dir):
 def lookups_in_shared_tables(spark, sf_dir):
     records = t.cleaned(spark, sf_dir)
     known = op.with_popularity(records, t.ranked(spark, sf_dir), own_domain="")
-    counted = op.lookup_join(known, op.agent_counts(records), "useragent", "inner")
+    counted = op.lookup_join(known, durable(op.agent_counts(records)), "useragent", "inner")
     return counted.select("host", "useragent", "popularity", "count")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -60,6 +61,7 @@ SCORE_THRESHOLD = 0.5
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
+@lru_cache(maxsize=1)
 def country_codes() -> tuple[str, ...]:
     """The 254 country labels, from the JVM's ISO 3166-1 list and the differences above."""
     iso = SparkSession.active().sparkContext._jvm.java.util.Locale.getISOCountries()
