@@ -234,3 +234,12 @@ def test_copies_are_divided_by_the_sort(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert sum(sizes) == 40000 and len(sizes) > 4 and max(sizes) < 20000
+
+
+def test_documented_word_example(spark):
+    """A ranked host at midnight, CONNECT, no content type, four million agent records."""
+    row = ("2018-07-01", "00:10:00", "10.10.10.10", "mail.shop.com", "CONNECT", "a", "-", "200", "mail.shop.com:443")
+    ranked = spark.createDataFrame([("shop",)], "domain_label string")
+    agents = spark.createDataFrame([("a", 5_000_000)], "useragent string, count bigint")
+    worded = op.with_words(spark.createDataFrame([row], schemas.CLEAN), ranked, agents)
+    assert worded.first().word == "1_0_CONNECT_13_-_22_4_200"
