@@ -22,7 +22,8 @@ def vector_corpus(counts: DataFrame, words: DataFrame, vocabulary_size: int) ->
     """``clientip, features`` with one sparse vector of word counts per client.
 
     The input is already counted, so a client's list holds each word once and is never
-    longer than the vocabulary, however many records the client has.
+    longer than the vocabulary, however many records the client has. Partitions are sorted,
+    so that the documents a seeded fit draws do not depend on the order of the shuffle.
     """
     entries = lookup_join(counts, words, "word", "inner").select(
         "clientip", F.struct("word_number", "word_count").alias("entry")
@@ -31,4 +32,4 @@ def vector_corpus(counts: DataFrame, words: DataFrame, vocabulary_size: int) ->
     features = sparse_vector(
         vocabulary_size, F.col("entries.word_number"), F.col("entries.word_count")
     )
-    return grouped.select("clientip", features.alias("features"))
+    return grouped.select("clientip", features.alias("features")).sortWithinPartitions("clientip")

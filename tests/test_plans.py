@@ -69,8 +69,12 @@ def test_analysis_end_to_end(spark, stored, tmp_path):
     assert found.columns == [*records.columns, "word", "score"]
     assert len(scores) == records.count()
     by_pairs = detect_anomalies(records, ranked, params, limit_bytes=0)
-    assert "SortMergeJoin" in plan(by_pairs)
     assert [row.score for row in by_pairs.collect()] == pytest.approx(scores, abs=1e-12)
     assert (tmp_path / "model" / "metadata").exists()
-    top = detect_anomalies(records, ranked, AnalysisParams(topics=4, iterations=5, top=7))
+    first = AnalysisParams(topics=4, iterations=5, top=7)
+    top = detect_anomalies(records, ranked, first)
+    top_by_pairs = detect_anomalies(records, ranked, first, limit_bytes=0)
     assert top.count() == 7 and "TakeOrderedAndProject" in plan(top)
+    by_records = [row.score for row in top.collect()]
+    assert [row.score for row in top_by_pairs.collect()] == pytest.approx(by_records, abs=1e-12)
+    assert "SortMergeJoin" not in plan(top) and "SortMergeJoin" in plan(top_by_pairs)
