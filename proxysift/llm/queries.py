@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from proxysift.llm import decontamination, mixing, url_filter, warc
+from proxysift.llm import decontamination, lm_scoring, mixing, span_dedup, toxicity, url_filter, warc
 from proxysift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +50,24 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_source_mix")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
+
+
+@_query("op2_substring_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return span_dedup.without_repeated_spans(docs).select("doc_id", "text", "n_sentences", "n_removed")
+
+
+@_query("op9_lm_scoring")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
+
+
+@_query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tagger = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scores = toxicity.toxicity_scores(docs, tagger)
+    return scores.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_toxic", "offsets"
+    )
