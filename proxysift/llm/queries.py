@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proxysift.llm import decontamination, lm_scoring, mixing, span_dedup, toxicity, url_filter, warc
+from proxysift.llm import decontamination, fingerprints, lm_scoring, mixing, span_dedup, toxicity, url_filter, warc
 from proxysift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_toxic", "offsets"
     )
+
+
+@_query("op1_fingerprints")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
