@@ -19,12 +19,13 @@ from pyspark.sql.window import Window
 
 from proxysift.llm.common import ascii_lower
 
-SAMPLES = 64
+SAMPLES = 40
 # Samples computed in one row; more make methods that the JVM does not compile.
-CHUNK = 8
+CHUNK = 4
 MOST_BUCKETS = 1024
 
 _ID_BITS = 31
+_PLACE_BITS = 42
 _LOW = 2**32 - 1
 _NO_ID = -(1 << 63)
 
@@ -59,16 +60,19 @@ def _uniform(bits: Column, size: int) -> Column:
     return (bits.cast("double") + 0.5) * (0.5**size)
 
 
-def least_samples(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``keys, chunk, s0 ..`` from rows of ``keys, term, weight``: the samples of each text.
+def least_samples(terms: DataFrame, key: str, carried: list[str], samples: int = SAMPLES) -> DataFrame:
+    """``key, chunk, carried, s0 ..`` from rows of ``key, carried, term, weight``: samples by text.
 
     A sample's value and the id of its (term, t) are packed in one number, the value above,
-    so that its minimum is a plain number that is combined before the shuffle.
+    so that its minimum is a plain number that is combined before the shuffle. What is
+    ``carried`` depends on the key and goes with its first chunk alone.
     """
+    keys = [key, *carried]
     rows = terms.select(
         *keys, "term", F.ln(F.col("weight").cast("double")).alias("log_weight"),
         F.explode(F.sequence(F.lit(0), F.lit(samples // CHUNK - 1))).alias("chunk"),
     )
+    rows = rows.withColumns({name: F.when(F.col("chunk") == 0, F.col(name)) for name in carried})
     seed = F.col("chunk") * (2 * CHUNK)
     rows = rows.select("*", *[F.xxhash64("term", seed + k).alias(f"h{k}") for k in range(2 * CHUNK)])
     numbers = []
@@ -153,27 +157,29 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.expr("left(text, char_length(text) - int(floor(char_length(text) / 3)))"),
                       F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), third))
-    # The row itself goes with the edited text; the other entry holds the terms of the text.
-    facts = F.struct("doc_id", n.alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256"), "guest")
     versions = F.explode(F.array(
         F.struct(F.lit(0).alias("version"), F.col("text").alias("text")),
         F.struct(F.lit(1).alias("version"), edited.alias("text")),
     ))
-    texts = rows.select("bucket", "place", facts.alias("facts"), versions.alias("v"))
+    facts = ["doc_id", "n_chars", "guest", "edited_sha256"]
+    texts = rows.select(
+        "bucket", "place", "doc_id", n.alias("n_chars"), "guest", F.sha2(edited.cast("binary"), 256).alias("edited_sha256"),
+        versions.alias("v"),
+    )
+    key = F.shiftleft(F.col("bucket").cast("bigint"), _PLACE_BITS) + F.col("place") * 2 + F.col("v.version")
     terms = texts.select(
-        "bucket", "place", F.col("v.version").alias("version"), "facts",
-        F.explode_outer(weighted_terms(F.col("v.text"))).alias("t"),
-    ).select("bucket", "place", "version", "facts.*", F.col("t.term").alias("term"), F.col("t.weight").alias("weight"))
-    keys = ["bucket", "place", "version", "doc_id", "n_chars", "edited_sha256", "guest"]
-    sampled = least_samples(terms, keys, samples)
-    empty = F.col("s0").isNull()
+        key.alias("key"), *facts, F.explode_outer(weighted_terms(F.col("v.text"))).alias("t"),
+    ).select("key", *facts, F.col("t.term").alias("term"), F.col("t.weight").alias("weight"))
+    sampled = least_samples(terms, "key", facts, samples)
     names = F.array(*[F.col(f"s{j}").bitwiseAND(F.lit(2**_ID_BITS - 1)) for j in range(CHUNK)])
-    chunks = F.collect_list(F.when(~empty, F.struct("chunk", names.alias("samples"))))
-    prints = sampled.groupBy(*keys).agg(fingerprint_text(chunks).alias("print"))
-    order = Window.partitionBy("bucket").orderBy("place", "version")
+    chunks = F.collect_list(F.when(F.col("s0").isNotNull(), F.struct("chunk", names.alias("samples"))))
+    prints = sampled.groupBy("key").agg(
+        fingerprint_text(chunks).alias("print"), *[F.max(name).alias(name) for name in facts]
+    ).withColumn("bucket", F.shiftright("key", _PLACE_BITS))
+    order = Window.partitionBy("bucket").orderBy("key")
     lined = prints.select(
         "*", F.lead("print", 1).over(order).alias("edited_print"), F.lead("print", 2).over(order).alias("next_print")
-    ).where("version = 0 AND guest = 0")
+    ).where("key % 2 = 0 AND guest = 0")
     return lined.select(
         "doc_id", "n_chars", "edited_sha256", F.col("print").alias("fingerprint"),
         F.col("edited_print").alias("edited_fingerprint"),
