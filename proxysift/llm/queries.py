@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proxysift.llm import decontamination, fingerprints, lm_scoring, mixing, span_dedup, toxicity, url_filter, warc
+from proxysift.llm import decontamination, fingerprints, lm_scoring, mixing, ngram_join, span_dedup, toxicity, url_filter, warc
 from proxysift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op1_fingerprints")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@_query("op6_ngram_jaccard")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(table(spark, sf_dir, "documents")).drop("mark")
