@@ -45,4 +45,27 @@ t AS (SELECT source, source_size, least(source_size * 2.0::DOUBLE, max(level) OV
 k AS (SELECT doc_id, size, source_size, target, u, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
   CAST(row_number() OVER (PARTITION BY d.source ORDER BY size, doc_id) AS DOUBLE) AS n FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, CAST(floor(n * rate + u) - floor((n - 1) * rate + u) AS BIGINT) * size AS taken FROM k""",
+    "op7_chat_formatting": """
+WITH m AS (SELECT *, length(text) AS n FROM conversations),
+a AS (SELECT *, CASE WHEN n % 11 = 0 THEN 'none' WHEN n % 2 = 0 THEN 'find' ELSE 'count' END AS tool FROM m WHERE role = 'assistant'),
+v AS (WITH RECURSIVE r(conv_id, turn, level) AS (
+    SELECT conv_id, turn, 0 FROM a
+    UNION SELECT a.conv_id, a.turn, r.level + 1 FROM r JOIN a ON a.conv_id = r.conv_id AND a.turn > 2 AND r.turn IN (a.turn - 1, a.turn - 2))
+  SELECT conv_id, turn, max(level) AS level FROM r GROUP BY ALL),
+c AS (SELECT conv_id, turn,
+  CASE WHEN tool = 'none' THEN 'unknown_tool'
+       WHEN tool = 'find' AND n % 3 <> 0 THEN 'bad_arguments'
+       WHEN n % 7 = 0 THEN 'no_result' ELSE 'ok' END AS status,
+  CASE WHEN n % 2 = 0 THEN '{' || CASE n % 3 WHEN 0 THEN '"exact":true,' WHEN 1 THEN '"exact":"yes",' ELSE '' END || '"letters":' || n || '}'
+       ELSE '{"letters":' || n || CASE WHEN n % 3 = 0 THEN ',"unit":"letter"' ELSE '' END || '}' END AS args,
+  tool, CASE WHEN n % 7 <> 0 THEN CAST(to_json(left(text, 20)) AS VARCHAR) ELSE 'null' END AS result, level
+  FROM a JOIN v USING (conv_id, turn)),
+lines AS (SELECT m.conv_id, m.turn, c.status, '{"content":' || CAST(to_json(m.text) AS VARCHAR) || ',"role":"' || m.role || '"'
+  || CASE WHEN c.status IS NULL THEN '' ELSE ',"tool_calls":[{"arguments":' || args || ',"id":"c' || m.turn || '","level":' || level
+     || ',"name":"' || tool || '","result":' || result || ',"status":"' || c.status || '"}]' END
+  || ',"turn":' || m.turn || '}' AS line
+  FROM m LEFT JOIN c ON c.conv_id = m.conv_id AND c.turn = m.turn)
+SELECT conv_id, count(*) AS n_messages, count(status) AS n_calls, count(*) FILTER (status = 'ok') AS n_ok,
+  '{"messages":[' || string_agg(line, ',' ORDER BY turn, line) || ']}' AS chat
+FROM lines GROUP BY conv_id""",
 }

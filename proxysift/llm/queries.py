@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proxysift.llm import decontamination, fingerprints, lm_scoring, mixing, ngram_join, span_dedup, toxicity, url_filter, warc
+from proxysift.llm import decontamination, fingerprints, lm_scoring, mixing, ngram_join, span_dedup, tool_calls, toxicity, url_filter, warc
 from proxysift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,43 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_ngram_jaccard")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(table(spark, sf_dir, "documents")).drop("mark")
+
+
+TOOLS = [
+    ("count", "letters", "integer", True), ("count", "unit", "string", False),
+    ("find", "letters", "integer", True), ("find", "exact", "boolean", True),
+]
+
+
+def tool_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations with a tool call in each turn of the assistant, and its result.
+
+    The given table has no calls, so they are derived from turn and length: the tool, its
+    arguments (some lack one, some have a wrong type or no tool), what comes before, and
+    whether there is a result.
+    """
+    rows = table(spark, sf_dir, "conversations")
+    n = F.char_length("text")
+    name = F.when(n % 11 == 0, "none").when(n % 2 == 0, "find").otherwise("count")
+    exact = F.when(n % 3 == 0, ', "exact": true').when(n % 3 == 1, ', "exact": "yes"').otherwise("")
+    unit = F.when(n % 3 == 0, '"unit": "letter", ').otherwise("")
+    arguments = F.when(
+        n % 2 == 0, F.format_string('{ "letters": %d%s }', n, exact)
+    ).otherwise(F.format_string('{ %s"letters" : %d }', unit, n))
+    after = F.when(F.col("turn") > 2, F.format_string('["c%d", "c%d"]', F.col("turn") - 2, F.col("turn") - 1)).otherwise("[]")
+    call = F.format_string('[{"name": "%s", "id": "c%d", "after": %s, "arguments": %s}]', name, F.col("turn"), after, arguments)
+    spoken = rows.select(
+        "conv_id", "turn", "role", F.col("text").alias("content"),
+        F.when(F.col("role") == "assistant", call).alias("tool_calls"), F.lit(None).cast("string").alias("tool_call_id"),
+    )
+    results = rows.where((F.col("role") == "assistant") & (n % 7 != 0)).select(
+        "conv_id", "turn", F.lit("tool").alias("role"), F.left("text", F.lit(20)).alias("content"),
+        F.lit(None).cast("string").alias("tool_calls"), F.format_string("c%d", F.col("turn")).alias("tool_call_id"),
+    )
+    return spoken.unionByName(results)
+
+
+@_query("op7_chat_formatting")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schemas = spark.createDataFrame(TOOLS, "name string, field string, type string, required boolean")
+    return tool_calls.format_chats(tool_messages(spark, sf_dir), schemas)
