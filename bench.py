@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 from collections.abc import Callable
+from pathlib import Path
 
 from catalog import tables as t
 from proxysift import AnalysisParams, JobParams, build_session
@@ -33,6 +35,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
+            "spark.checkpoint.dir": Path(tempfile.mkdtemp(prefix="bench-")).as_uri(),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

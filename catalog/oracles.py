@@ -1,19 +1,37 @@
 """A SQL text per exact query, written independently of the Spark expressions.
 
 The line oracles need no parser: they rebuild the expected fields from the columns a line
-was generated from. Country codes other than ``uk`` and ``au`` do not occur in the tables.
+was generated from. Country codes other than those of ``CODE_SQL`` do not occur.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 
-from catalog.tables import CSV_SQL, DUCK_STAMP, LINES_SQL, PROXY_SQL, RANKED_SQL, TOPICS
-
-_PV = PROXY_SQL.format(
-    stamp=DUCK_STAMP, events="events", pages="pages", n_pages="(SELECT count(*) FROM pages)"
+from catalog.tables import (
+    BAD_HOUR_SQL,
+    CODE_SQL,
+    CSV_SQL,
+    DUCK_STAMP,
+    LINE_SQL,
+    LINES_SQL,
+    PROXY_SQL,
+    RANKED_SQL,
+    TOPICS,
 )
 
+
+def _proxy(time: str) -> str:
+    # The count is a table of one row, so that pages are joined by hash.
+    return PROXY_SQL.format(
+        time=time, code=CODE_SQL, n_pages="n", pages="pages", events="events, (SELECT count(*) AS n FROM pages)"
+    )
+
+
+_COUNTRIES = "('uk', 'au', 'de', 'eu', 'krd', 'su', 'ac', 'jp')"
+_GENERIC = "('com', 'org', 'net', 'int', 'edu', 'gov', 'mil')"
+
 # Broken lines by precedence: quotes, then field count, then time.
 _FAULT = """CASE WHEN event_id % 41 = 0 THEN 'Unbalanced quotes'
   WHEN event_id % 43 = 0 THEN 'Columns != 31' WHEN event_id % 37 = 0 THEN 'Invalid timestamp' END"""
@@ -84,9 +102,10 @@ def _rounded_text(values: str) -> str:
 
 # Named intermediate tables; each may use the ones above it.
 _TABLES = {
-    "pv": _PV,
-    "lines": LINES_SQL.format(pv="pv"),
-    "line_facts": f"SELECT p.*, l.value AS raw, {_FAULT} AS error FROM pv p JOIN lines l USING (event_id) WHERE event_id % 31 <> 0",
+    "pv": _proxy(BAD_HOUR_SQL.format(stamp=DUCK_STAMP)),
+    "requests": _proxy(DUCK_STAMP),
+    "lines": LINES_SQL.format(pv="requests"),
+    "line_facts": f"SELECT *, {LINE_SQL} AS raw, {_FAULT} AS error FROM requests WHERE event_id % 31 <> 0",
     "good_lines": "SELECT * FROM line_facts WHERE error IS NULL",
     "records": f"""SELECT raw, {_NAMED}, {_STAMP} AS orig_timestamp, {_EST} AS iso_timestamp,
         CAST(epoch({_UTC}) AS BIGINT) AS epoch_timestamp,
@@ -99,10 +118,10 @@ _TABLES = {
         scStatus AS respcode, csHost || csUriPath || coalesce(csUriQuery, '') AS fulluri
         FROM pv WHERE csHost IS NOT NULL AND csUriPath IS NOT NULL""",
     "labels": """SELECT host, string_split(rtrim(host, '.'), '.') AS a FROM (SELECT DISTINCT host FROM clean)""",
-    "without_country": """SELECT host, a, CASE WHEN a[-1] IN ('uk', 'au') THEN a[1:len(a) - 1] ELSE a END AS b FROM labels""",
-    "suffixed": """SELECT host, a, b,
-        CASE WHEN b[-1] IN ('com', 'org', 'net', 'int', 'edu', 'gov', 'mil') THEN b[1:len(b) - 1] ELSE b END AS c,
-        len(a) >= 2 AND a[-1] IN ('uk', 'au', 'com', 'org', 'net', 'int', 'edu', 'gov', 'mil') AS named
+    "without_country": f"""SELECT host, a, CASE WHEN a[-1] IN {_COUNTRIES} THEN a[1:len(a) - 1] ELSE a END AS b FROM labels""",
+    "suffixed": f"""SELECT host, a, b,
+        CASE WHEN b[-1] IN {_GENERIC} THEN b[1:len(b) - 1] ELSE b END AS c,
+        len(a) >= 2 AND (a[-1] IN {_COUNTRIES} OR a[-1] IN {_GENERIC}) AS named
         FROM without_country""",
     "domains": """SELECT host, a,
         CASE WHEN named AND len(c) > 0 THEN c[-1] ELSE 'None' END AS domain,
@@ -118,27 +137,30 @@ _TABLES = {
         [0.0, 0.3, 0.6, 0.9, 1.2, 1.5, 1.8, 2.1, 2.4, 2.7, 3.0, 3.3, 3.6, 3.9, 4.2, 4.5, 4.8, 5.1, 5.4]::DOUBLE[],
         lambda c: c < h)) AS INTEGER) END AS bin FROM entropies""",
     "agents": "SELECT useragent, count(*) AS n FROM clean GROUP BY useragent",
-    "worded": """SELECT c.*, p.popularity || '_' || CAST(split_part(p_time, ':', 1) AS INTEGER) || '_'
+    "worded": """SELECT c.*, CASE WHEN TRY_CAST(split_part(p_time, ':', 1) AS INTEGER) IS NULL THEN 'word_error'
+        ELSE p.popularity || '_' || TRY_CAST(split_part(p_time, ':', 1) AS INTEGER) || '_'
         || coalesce(reqmethod, 'null') || '_' || b.bin || '_'
         || CASE WHEN resconttype = '/' THEN 'unknown_content_type' ELSE split_part(resconttype, '/', 1) END
         || '_' || CAST(trunc(log10(a.n) / log10(2)) AS INTEGER)
         || '_' || CAST(trunc(log10(length(fulluri)) / log10(2)) AS INTEGER)
-        || '_' || coalesce(respcode, 'unknown_response_code') AS word
+        || '_' || coalesce(respcode, 'unknown_response_code') END AS word
         FROM clean c JOIN popularity p USING (host) JOIN bins b ON b.s = c.fulluri JOIN agents a USING (useragent)""",
-    "counts": "SELECT clientip, word, count(*) AS word_count FROM worded GROUP BY clientip, word",
+    "counts": "SELECT clientip, word, count(*) AS word_count FROM worded WHERE word <> 'word_error' GROUP BY clientip, word",
     "words": "SELECT word, CAST(row_number() OVER (ORDER BY word) - 1 AS INTEGER) AS word_number FROM (SELECT DISTINCT word FROM counts)",
     "documents_no": """SELECT clientip AS document_name, row_number() OVER (ORDER BY clientip) - 1 AS document_number
         FROM (SELECT DISTINCT clientip FROM counts)""",
-    "mix": f"""SELECT '10.0.' || CAST((vec_id + 10) // 256 AS VARCHAR) || '.' || CAST((vec_id + 10) % 256 AS VARCHAR) AS document_name,
-        CAST(embedding[1:{TOPICS}] AS DOUBLE[]) AS topic_prob_mix FROM embeddings""",
+    "whole": """SELECT '10.0.' || CAST((vec_id + 10) // 256 AS VARCHAR) || '.' || CAST((vec_id + 10) % 256 AS VARCHAR) AS document_name,
+        CAST(embedding AS DOUBLE[]) AS topic_prob_mix FROM embeddings""",
+    "mix": f"""SELECT document_name, list_transform(range({TOPICS}), lambda t: list_sum(list_filter(sizes, lambda x, i: (i - 1) % {TOPICS} = t)) / list_sum(sizes)) AS topic_prob_mix
+        FROM (SELECT document_name, list_transform(topic_prob_mix, lambda x: abs(x)) AS sizes FROM whole)""",
     "topic_ids": f"SELECT unnest(range({TOPICS})) AS topic",
     "seconds": f"SELECT word, CAST(split_part(p_time, ':', 3) AS INTEGER) % {TOPICS} AS topic, count(*) AS n FROM worded GROUP BY ALL",
     "weights": """SELECT w.word, t.topic, coalesce(s.n, 0) + 1.0 AS weight
-        FROM words w CROSS JOIN topic_ids t LEFT JOIN seconds s USING (word, topic)""",
+        FROM (SELECT DISTINCT word FROM worded) w CROSS JOIN topic_ids t LEFT JOIN seconds s USING (word, topic)""",
     "all_probs": """SELECT word, list(p ORDER BY topic) AS topic_probs FROM (
         SELECT word, topic, CAST(weight AS DOUBLE) / sum(CAST(weight AS DOUBLE)) OVER (PARTITION BY topic) AS p FROM weights) GROUP BY word""",
-    "probs": "SELECT * FROM all_probs WHERE word IN (SELECT word FROM counts GROUP BY word HAVING sum(word_count) > 1)",
-    "scored": f"""SELECT w.*, coalesce({_DOT}, 0) AS score FROM worded w
+    "probs": "SELECT * FROM all_probs WHERE NOT ends_with(word, '_503')",
+    "scored": f"""SELECT w.*, CASE WHEN word = 'word_error' THEN -1.0 ELSE coalesce({_DOT}, 0) END AS score FROM worded w
         LEFT JOIN mix ON document_name = clientip LEFT JOIN probs USING (word)""",
 }
 
@@ -151,17 +173,21 @@ def _sql(select: str) -> str:
         used = set(re.findall(r"[a-z_]+", stack.pop())) & set(_TABLES) - needed
         needed |= used
         stack.extend(_TABLES[name] for name in used)
-    tables = ", ".join(f"{name} AS ({body})" for name, body in _TABLES.items() if name in needed)
+    # A table that several others read is made once.
+    readers = Counter(name for text in (select, *(_TABLES[n] for n in needed)) for name in set(re.findall(r"[a-z_]+", text)))
+    tables = ", ".join(
+        f"{name} AS {'MATERIALIZED ' * (readers[name] > 1)}({body})" for name, body in _TABLES.items() if name in needed
+    )
     return f"WITH {tables} {select}" if tables else select
 
 
 _ENRICHED = f"{_EST} AS iso_timestamp, CAST(epoch({_UTC}) AS BIGINT) AS epoch_timestamp"
 _PARSED_COLUMNS = ", ".join(name for name in _RECORD if name not in ("time", *_CASTS))
 _CLEAN = "p_date, p_time, clientip, host, reqmethod, useragent, resconttype, respcode, fulluri"
-_ADAPTED = """orig_timestamp AS timestamp, c_ip AS cIp, cs_host AS csHost, cs_method AS csMethod,
-    cs_user_agent AS csUserAgent, rs_content_type AS rsContentType,
-    CAST(TRY_CAST(sc_status AS INTEGER) AS VARCHAR) AS scStatus, cs_uri_path AS csUriPath,
-    cs_uri_query AS csUriQuery, cs_uri_extension AS csUriExtension"""
+_ADAPTED = """orig_timestamp AS timestamp, c_ip AS cIp, nullif(cs_host, '-') AS csHost, nullif(cs_method, '-') AS csMethod,
+    cs_user_agent AS csUserAgent, nullif(rs_content_type, '-') AS rsContentType,
+    CAST(TRY_CAST(sc_status AS INTEGER) AS VARCHAR) AS scStatus, nullif(cs_uri_path, '-') AS csUriPath,
+    nullif(cs_uri_query, '-') AS csUriQuery, nullif(cs_uri_extension, '-') AS csUriExtension"""
 _PV_COLUMNS = """timestamp, cIp, csHost, csMethod, csUserAgent, rsContentType, scStatus,
     csUriPath, csUriQuery, csUriExtension"""
 _STAGE = "CASE WHEN error = 'Invalid timestamp' THEN 'convertToTargetTZ' WHEN error IS NOT NULL THEN 'parser' END AS stage"
@@ -201,6 +227,11 @@ _SELECTS = {
     "typed_columns": f"SELECT time, {_TYPED} FROM records",
     "without_time_column": f"SELECT {_PARSED_COLUMNS}, {_TYPED}, orig_timestamp, iso_timestamp, epoch_timestamp, event_date FROM records",
     "analysis_adapter": f"SELECT {_ADAPTED} FROM records",
+    "cleaned_from_raw_lines": f"""SELECT split_part(timestamp, 'T', 1) AS p_date, split_part(timestamp, 'T', 2) AS p_time,
+        cIp AS clientip, csHost AS host, csMethod AS reqmethod, csUserAgent AS useragent,
+        coalesce(rsContentType, '-') AS resconttype, scStatus AS respcode,
+        csHost || csUriPath || coalesce(csUriQuery, '') AS fulluri
+        FROM (SELECT {_ADAPTED} FROM records) WHERE csHost IS NOT NULL AND csUriPath IS NOT NULL""",
     "null_sentinels": """SELECT orig_timestamp, CASE WHEN cs_method <> '-' THEN cs_method END AS method,
         TRY_CAST(time_taken AS INTEGER) AS taken, TRY_CAST(sc_bytes AS BIGINT) AS bytes,
         CAST(NULL AS INTEGER) AS host_number FROM records""",
@@ -229,7 +260,7 @@ _SELECTS = {
     # scalar features
     "domain_parts": "SELECT host, domain, subdomain FROM clean JOIN domains USING (host)",
     "country_code_strip": "SELECT host, array_to_string(b, '|') AS labels FROM clean JOIN without_country USING (host)",
-    "generic_domain_strip": """SELECT host, array_to_string(CASE WHEN a[-1] IN ('com', 'org', 'net', 'int', 'edu', 'gov', 'mil')
+    "generic_domain_strip": f"""SELECT host, array_to_string(CASE WHEN a[-1] IN {_GENERIC}
         THEN a[1:len(a) - 1] ELSE a END, '|') AS labels FROM clean JOIN labels USING (host)""",
     "domain_features": """SELECT host, domain,
         CASE WHEN domain = 'shop' THEN 2 WHEN domain IN (SELECT label FROM ranking) THEN 1 ELSE 0 END AS "topDomain",
@@ -244,7 +275,7 @@ _SELECTS = {
         CASE WHEN length(fulluri) <= 30 THEN 0 ELSE CAST(trunc(log10(length(fulluri) - 30)) AS INTEGER) END AS bin10 FROM clean""",
     "length_ceil_log2": """SELECT fulluri, CAST(ceil(log10(length(fulluri)) / log10(2)) AS INTEGER) AS bits,
         CASE length(reqmethod) WHEN 3 THEN -2147483648 WHEN 4 THEN 0 WHEN 7 THEN 2 END AS method_bits FROM clean""",
-    "hour_of_time": "SELECT p_time, CAST(substr(p_time, 1, 2) AS INTEGER) AS hour, TRY_CAST(split_part(fulluri, '.', 1) AS INTEGER) AS bad_hour FROM clean",
+    "hour_of_time": "SELECT p_time, TRY_CAST(split_part(p_time, ':', 1) AS INTEGER) AS hour, TRY_CAST(split_part(fulluri, '.', 1) AS INTEGER) AS bad_hour FROM clean",
     "content_type_group": """SELECT resconttype, CASE resconttype WHEN '/' THEN 'unknown_content_type' WHEN 'text/html' THEN 'text'
         WHEN 'image/png' THEN 'image' WHEN 'application/json' THEN 'application' ELSE resconttype END AS kind FROM clean""",
     "response_code_default": "SELECT fulluri, coalesce(respcode, 'unknown_response_code') AS code FROM clean",
@@ -260,9 +291,9 @@ _SELECTS = {
         JOIN documents_no ON document_name = clientip""",
     "corpus_vectors": """SELECT clientip, CAST((SELECT count(*) FROM words) AS INTEGER) AS size, word_number,
         CAST(word_count AS DOUBLE) AS value FROM counts JOIN words USING (word)""",
-    "mix_widening": f"SELECT document_name, {_rounded_text('topic_prob_mix')} AS mix FROM mix",
+    "mix_widening": f"SELECT document_name, {_rounded_text('topic_prob_mix')} AS mix FROM whole",
     "corpus_size": "SELECT count(DISTINCT clientip) AS documents FROM counts",
-    "dominant_topic_share": "SELECT document_name, round(list_max(topic_prob_mix), 6) AS max_share FROM mix",
+    "dominant_topic_share": "SELECT document_name, round(list_max(topic_prob_mix), 6) AS max_share FROM whole",
     "word_probabilities": f"SELECT word, {_rounded_text('topic_probs')} AS probs FROM all_probs",
     # joins and ordering
     "counts_with_document_number": "SELECT clientip AS document_name, word, word_count, document_number FROM counts JOIN documents_no ON document_name = clientip",
@@ -276,6 +307,13 @@ _SELECTS = {
     # topic model and scoring
     "mini_batch_fraction": """SELECT count(DISTINCT clientip) AS documents,
         round(CASE WHEN count(DISTINCT clientip) < 2 THEN 0.75 ELSE 1.05 / count(DISTINCT clientip) END, 6) AS fraction FROM counts""",
+    "topic_model_online": "SELECT CAST(topic AS INTEGER) AS topic, (SELECT count(*) FROM words) AS words, 1.0::DOUBLE AS total FROM topic_ids",
+    "topic_model_em": "SELECT CAST(topic AS INTEGER) AS topic, (SELECT count(*) FROM words) AS words, 1.0::DOUBLE AS total FROM topic_ids",
+    "topic_mix_of_documents": f"SELECT DISTINCT clientip AS document_name, {TOPICS} AS topics, 1.0::DOUBLE AS total FROM counts",
+    "anomaly_model_tables": f"SELECT DISTINCT clientip AS document_name, {TOPICS} AS topics, 1.0::DOUBLE AS total, TRUE AS dominant FROM counts",
+    "model_save_and_load": "SELECT count(DISTINCT clientip) AS documents, CAST(0 AS BIGINT) AS differences FROM counts",
+    "anomalies": """SELECT count(*) AS records, count(DISTINCT clientip) AS clients, count(DISTINCT word) AS words, CAST(0 AS BIGINT) AS outside
+        FROM worded WHERE word <> 'word_error'""",
     "pair_scores": f"""SELECT clientip, word, round(coalesce({_DOT}, 0), 6) AS score FROM counts
         LEFT JOIN mix ON document_name = clientip LEFT JOIN probs USING (word)""",
     "scored_records": f"SELECT {_CLEAN}, word, round(score, 6) AS score FROM scored",

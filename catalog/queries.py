@@ -19,7 +19,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 DECIMALS = 6
-FIT = AnalysisParams(iterations=10)
+# Every client is read in every iteration, and every score is kept.
+FIT = AnalysisParams(iterations=10, batch=1.0, threshold=1.0)
 
 
 def query(build: Query) -> Query:
@@ -107,8 +108,13 @@ def partitioned_write(spark, sf_dir):
 def model_save_and_load(spark, sf_dir):
     corpus, documents, words = _corpus(spark, sf_dir)
     path = t.scratch_path(spark, "model")
-    sources.save_model(op.fit_topics(corpus, documents, FIT), path)
-    return op.topic_mix(sources.load_model(path), corpus)
+    model = op.fit_topics(corpus, documents, FIT)
+    sources.save_model(model, path)
+    again = op.topic_mix(sources.load_model(path), corpus).withColumnRenamed("topic_prob_mix", "again")
+    both = durable(op.topic_mix(model, corpus)).join(durable(again), "document_name")
+    return both.agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(F.col("topic_prob_mix") != F.col("again")).alias("differences")
+    )
 
 
 @query
@@ -223,6 +229,12 @@ def analysis_adapter(spark, sf_dir):
     return op.adapt_for_analysis(table)
 
 
+@query
+def cleaned_from_raw_lines(spark, sf_dir):
+    table = proxy_table(op.parse_lines(t.raw_lines(spark, sf_dir)), JobParams("Proxy"))
+    return op.clean_records(op.adapt_for_analysis(table))
+
+
 @query
 def null_sentinels(spark, sf_dir):
     table = op.record_table(op.parse_lines(t.raw_lines(spark, sf_dir)))
@@ -305,7 +317,7 @@ def cleaned_records(spark, sf_dir):
 
 @query
 def records_with_word(spark, sf_dir):
-    return t.worded(spark, sf_dir).where(F.col("word") != "word_error")
+    return op.with_valid_word(t.worded(spark, sf_dir))
 
 
 @query
@@ -462,7 +474,7 @@ def corpus_vectors(spark, sf_dir):
 
 @query
 def mix_widening(spark, sf_dir):
-    mix = t.fixed_mix(spark, sf_dir)
+    mix = t.embedding_mix(spark, sf_dir)
     return mix.select(
         "document_name", rounded_text(functions.widen(F.col("topic_prob_mix")), "mix")
     )
@@ -476,7 +488,7 @@ def corpus_size(spark, sf_dir):
 
 @query
 def dominant_topic_share(spark, sf_dir):
-    return op.with_dominant_topic(t.fixed_mix(spark, sf_dir)).select(
+    return op.with_dominant_topic(t.embedding_mix(spark, sf_dir)).select(
         "document_name", rounded(F.col("maxV").cast("double"), "max_share")
     )
 
@@ -557,23 +569,36 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.score_records(records, mix, probs, t.TOPICS)
 
 
+def _topic_sums(weights: DataFrame) -> DataFrame:
+    """Words and sum of weights per topic."""
+    return weights.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("words"), rounded(F.sum("weight"), "total")
+    )
+
+
+def _mix_sums(mix: DataFrame) -> DataFrame:
+    """Number and sum of the shares per document."""
+    total = F.aggregate("topic_prob_mix", F.lit(0.0), lambda a, v: a + v)
+    return mix.withColumns({"topics": F.size("topic_prob_mix"), "total": F.round(total, DECIMALS)})
+
+
 @query
 def topic_model_online(spark, sf_dir):
     corpus, documents, words = _corpus(spark, sf_dir)
-    return op.topic_weights(op.fit_topics(corpus, documents, FIT), words)
+    return _topic_sums(op.topic_weights(op.fit_topics(corpus, documents, FIT), words))
 
 
 @query
 def topic_model_em(spark, sf_dir):
     corpus, documents, words = _corpus(spark, sf_dir)
     params = AnalysisParams(iterations=5, optimizer="em")
-    return op.topic_weights(op.fit_topics(corpus, documents, params), words)
+    return _topic_sums(op.topic_weights(op.fit_topics(corpus, documents, params), words))
 
 
 @query
 def topic_mix_of_documents(spark, sf_dir):
     corpus, documents, _ = _corpus(spark, sf_dir)
-    return op.topic_mix(op.fit_topics(corpus, documents, FIT), corpus)
+    return _mix_sums(op.topic_mix(op.fit_topics(corpus, documents, FIT), corpus)).drop("topic_prob_mix")
 
 
 @query
@@ -590,12 +615,24 @@ def scored_records(spark, sf_dir):
     return scored.select(*scored.columns[:-1], rounded(F.col("score"), "score"))
 
 
+def ranked_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records themselves, least likely first."""
+    return detect_anomalies(t.cleaned(configure(spark), sf_dir), t.ranked(spark, sf_dir), FIT)
+
+
 @query
 def anomalies(spark, sf_dir):
-    return detect_anomalies(t.cleaned(spark, sf_dir), t.ranked(spark, sf_dir), FIT)
+    return ranked_anomalies(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("records"), F.countDistinct("clientip").alias("clients"),
+        F.countDistinct("word").alias("words"),
+        F.count_if(~F.col("score").between(0.0, FIT.threshold)).alias("outside"),
+    )
 
 
 @query
 def anomaly_model_tables(spark, sf_dir):
     trained = train(t.cleaned(spark, sf_dir), t.ranked(spark, sf_dir), FIT)
-    return op.with_dominant_topic(trained.mix)
+    found = _mix_sums(op.with_dominant_topic(trained.mix))
+    return found.select(
+        "document_name", "topics", "total", F.col("maxV").between(1.0 / FIT.topics - 1e-9, 1.0).alias("dominant")
+    )

@@ -18,20 +18,24 @@ from proxysift.session import durable, shared_folder
 
 TOPICS = 20
 
+# The hour of some records is no number.
+BAD_HOUR_SQL = (
+    "CASE WHEN e.event_id % 101 = 0 THEN concat(substr({stamp}, 1, 11), 'xx', substr({stamp}, 14)) ELSE {stamp} END"
+)
 SPARK_STAMP = "date_format(e.ts, \"yyyy-MM-dd'T'HH:mm:ss\")"
 DUCK_STAMP = "strftime(e.ts, '%Y-%m-%dT%H:%M:%S')"
 
 PROXY_SQL = r"""
 SELECT e.event_id,
-  {stamp} AS timestamp,
+  {time} AS timestamp,
   concat('10.0.', CAST(floor(e.user_id / 256) AS INT), '.', CAST(e.user_id % 256 AS INT)) AS cIp,
   CASE WHEN e.event_id % 97 = 0 THEN NULL
        WHEN e.event_id % 73 = 0 THEN '10.1.2.3'
        WHEN e.event_id % 71 = 0 THEN 'www.intel.com'
        WHEN e.event_id % 67 = 0 THEN '1.2.3.4.in-addr.arpa'
-       WHEN e.event_id % 61 = 0 THEN 'www.shop.co.uk'
+       WHEN e.event_id % 61 = 0 THEN concat('www.shop.co.', {code})
        WHEN e.event_id % 59 = 0 THEN 'com.uk'
-       WHEN e.event_id % 53 = 0 THEN 'portal.com.au.'
+       WHEN e.event_id % 53 = 0 THEN concat('portal.com.', {code}, '.')
        WHEN e.event_id % 47 = 0 THEN 'localhost'
        ELSE replace(regexp_extract(p.url, '^[a-z]+://([^/?#]+)', 1), '.example.', '.') END AS csHost,
   CASE WHEN e.event_id % 89 = 0 THEN NULL WHEN e.event_type = 'purchase' THEN 'POST'
@@ -47,17 +51,19 @@ SELECT e.event_id,
        ELSE regexp_extract(p.url, '^[a-z]+://[^/]+(/[^?#]*)', 1) END AS csUriPath,
   CASE WHEN p.url LIKE '%?%' THEN regexp_extract(p.url, '([?][^#]*)', 1) ELSE NULL END AS csUriQuery,
   CASE WHEN p.url LIKE '%.html' THEN 'html' ELSE NULL END AS csUriExtension
-FROM {events} e JOIN {pages} p ON p.page_id = e.event_id % {n_pages}
+FROM (SELECT *, event_id % {n_pages} AS page FROM {events}) e JOIN {pages} p ON p.page_id = e.page
 """
 
+# Country codes of the planted hosts.
+CODE_SQL = """CASE e.event_id % 8 WHEN 0 THEN 'uk' WHEN 1 THEN 'au' WHEN 2 THEN 'de' WHEN 3 THEN 'eu'
+  WHEN 4 THEN 'krd' WHEN 5 THEN 'su' WHEN 6 THEN 'ac' ELSE 'jp' END"""
+
 RANKED_SQL = r"""
 SELECT page_id, regexp_extract(url, '://(?:www[.]|blog[.]|m[.])?([^./]+)', 1) AS label, url
 FROM {pages}
 """
 
-LINES_SQL = r"""
-SELECT event_id,
- CASE WHEN event_id % 31 = 0 THEN '   ' ELSE concat(
+LINE_SQL = r"""concat(
   '<134>gw--sg1 proxy ', substr(timestamp,1,10), ' ',
   CASE WHEN event_id % 37 = 0 THEN 'not-a-time'
        WHEN event_id % 3 = 0 THEN concat(timestamp,'-05:00')
@@ -71,9 +77,9 @@ SELECT event_id,
   CASE WHEN event_id % 41 = 0 THEN '"Agent 1.0 (X11'
        ELSE concat('"', coalesce(csUserAgent,'-'), ' (X11; Linux)"') END,
   ' 10.9.9.9 ', CAST(event_id * 1000003 AS BIGINT), ' 512 - "none"',
-  CASE WHEN event_id % 43 = 0 THEN '' ELSE ' "none"' END) END AS value
-FROM {pv}
-"""
+  CASE WHEN event_id % 43 = 0 THEN '' ELSE ' "none"' END)"""
+
+LINES_SQL = f"SELECT event_id, CASE WHEN event_id % 31 = 0 THEN '   ' ELSE {LINE_SQL} END AS value FROM {{pv}}"
 
 CSV_SQL = r'''
 SELECT event_id,
@@ -96,11 +102,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
 
 
-def proxy_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def proxy_view(spark: SparkSession, sf_dir: str, bad_hours: bool = True) -> DataFrame:
     """The analysis input with its ``event_id``."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     text = PROXY_SQL.format(
-        stamp=SPARK_STAMP, n_pages=pages.count(), events="{events}", pages="{pages}"
+        time=BAD_HOUR_SQL.format(stamp=SPARK_STAMP) if bad_hours else SPARK_STAMP,
+        code=CODE_SQL, n_pages=pages.count(), events="{events}", pages="{pages}",
     )
     return spark.sql(text, events=table(spark, sf_dir, "events"), pages=pages)
 
@@ -119,7 +126,7 @@ def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(LINES_SQL, pv=proxy_view(spark, sf_dir)).select("value")
+    return spark.sql(LINES_SQL, pv=proxy_view(spark, sf_dir, bad_hours=False)).select("value")
 
 
 def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,12 +156,29 @@ def client_of(number: str) -> Column:
     )
 
 
-def fixed_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``document_name, topic_prob_mix``: the first values of each embedding as a topic mix."""
+def embedding_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``document_name, topic_prob_mix``: each embedding as it is."""
     return table(spark, sf_dir, "embeddings").select(
-        client_of("vec_id").alias("document_name"),
-        F.slice("embedding", 1, TOPICS).alias("topic_prob_mix"),
+        client_of("vec_id").alias("document_name"), F.col("embedding").alias("topic_prob_mix")
+    )
+
+
+def fixed_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``document_name, topic_prob_mix``: each embedding folded into shares of the topics.
+
+    A topic's share is the sum of the absolute values at its place and every ``TOPICS``
+    places after it, divided by the sum of all.
+    """
+    sizes = F.transform("topic_prob_mix", lambda v: F.abs(v.cast("double")))
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+
+    shares = F.transform(
+        F.sequence(F.lit(0), F.lit(TOPICS - 1)),
+        lambda topic: total(F.filter(sizes, lambda _, i: i % TOPICS == topic)) / total(sizes),
     )
+    return embedding_mix(spark, sf_dir).select("document_name", shares.alias("topic_prob_mix"))
 
 
 def fixed_weights(records: DataFrame) -> DataFrame:
@@ -168,7 +192,6 @@ def fixed_weights(records: DataFrame) -> DataFrame:
 
 
 def fixed_probs(records: DataFrame) -> DataFrame:
-    """``word, topic_probs`` of the words seen at least twice; the others count as unseen."""
-    seen = records.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    """``word, topic_probs``; words of the response code 503 count as unseen."""
     probs = op.normalise_weights(fixed_weights(records))
-    return durable(probs.join(seen.select("word"), "word", "left_semi"))
+    return durable(probs.where(~F.endswith("word", F.lit("_503"))))

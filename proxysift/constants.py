@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import lru_cache
-
-from pyspark.sql import SparkSession
 
 # --- fixed values: results depend on these exact texts and numbers ------------------
 
@@ -25,9 +22,25 @@ ENTROPY_CUTS = (
 
 TOP_LEVEL_DOMAINS = ("com", "org", "net", "int", "edu", "gov", "mil")
 
-# Country-code labels are the ISO 3166-1 codes with these differences.
-COUNTRY_CODES_BEYOND_ISO = ("", "ac", "an", "eu", "krd", "su", "tp", "uk")
-ISO_CODES_NOT_USED = ("bl", "mf", "um")
+COUNTRY_CODES = (
+    "", "ac", "ad", "ae", "af", "ag", "ai", "al", "am", "an", "ao", "aq", "ar", "as", "at",
+    "au", "aw", "ax", "az", "ba", "bb", "bd", "be", "bf", "bg", "bh", "bi", "bj", "bm", "bn",
+    "bo", "bq", "br", "bs", "bt", "bv", "bw", "by", "bz", "ca", "cc", "cd", "cf", "cg", "ch",
+    "ci", "ck", "cl", "cm", "cn", "co", "cr", "cu", "cv", "cw", "cx", "cy", "cz", "de", "dj",
+    "dk", "dm", "do", "dz", "ec", "ee", "eg", "eh", "er", "es", "et", "eu", "fi", "fj", "fk",
+    "fm", "fo", "fr", "ga", "gb", "gd", "ge", "gf", "gg", "gh", "gi", "gl", "gm", "gn", "gp",
+    "gq", "gr", "gs", "gt", "gu", "gw", "gy", "hk", "hm", "hn", "hr", "ht", "hu", "id", "ie",
+    "il", "im", "in", "io", "iq", "ir", "is", "it", "je", "jm", "jo", "jp", "ke", "kg", "kh",
+    "ki", "km", "kn", "kp", "kr", "krd", "kw", "ky", "kz", "la", "lb", "lc", "li", "lk", "lr",
+    "ls", "lt", "lu", "lv", "ly", "ma", "mc", "md", "me", "mg", "mh", "mk", "ml", "mm", "mn",
+    "mo", "mp", "mq", "mr", "ms", "mt", "mu", "mv", "mw", "mx", "my", "mz", "na", "nc", "ne",
+    "nf", "ng", "ni", "nl", "no", "np", "nr", "nu", "nz", "om", "pa", "pe", "pf", "pg", "ph",
+    "pk", "pl", "pm", "pn", "pr", "ps", "pt", "pw", "py", "qa", "re", "ro", "rs", "ru", "rw",
+    "sa", "sb", "sc", "sd", "se", "sg", "sh", "si", "sj", "sk", "sl", "sm", "sn", "so", "sr",
+    "ss", "st", "su", "sv", "sx", "sy", "sz", "tc", "td", "tf", "tg", "th", "tj", "tk", "tl",
+    "tm", "tn", "to", "tp", "tr", "tt", "tv", "tw", "tz", "ua", "ug", "uk", "us", "uy", "uz",
+    "va", "vc", "ve", "vg", "vi", "vn", "vu", "wf", "ws", "ye", "yt", "za", "zm", "zw",
+)
 
 FIELD_COUNT = 31
 HEAD_SEPARATOR = "--"
@@ -59,11 +72,3 @@ SCORE_THRESHOLD = 0.5
 
 # A lookup table is broadcast only when its measured size stays below this.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
-
-@lru_cache(maxsize=1)
-def country_codes() -> tuple[str, ...]:
-    """The 254 country labels, from the JVM's ISO 3166-1 list and the differences above."""
-    iso = SparkSession.active().sparkContext._jvm.java.util.Locale.getISOCountries()
-    codes = {code.lower() for code in iso} - set(ISO_CODES_NOT_USED)
-    return tuple(sorted(codes | set(COUNTRY_CODES_BEYOND_ISO)))

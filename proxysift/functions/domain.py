@@ -35,7 +35,7 @@ def _suffix_labels(name: Column, countries: Sequence[str] | None) -> Column:
     return (
         F.when(~F.contains(name, F.lit(".")), F.lit(None))
         .when(last.isin(*C.TOP_LEVEL_DOMAINS), 1)
-        .when(last.isin(*(countries or C.country_codes())), generic)
+        .when(last.isin(*(countries or C.COUNTRY_CODES)), generic)
     )
 
 
@@ -89,7 +89,7 @@ def _drop_last(labels: Column, endings: Sequence[str]) -> Column:
 
 
 def strip_country_code(labels: Column, countries: Sequence[str] | None = None) -> Column:
-    return _drop_last(labels, countries or C.country_codes())
+    return _drop_last(labels, countries or C.COUNTRY_CODES)
 
 
 def strip_top_level_domain(labels: Column) -> Column:

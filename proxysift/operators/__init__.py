@@ -9,7 +9,7 @@ from proxysift.operators.cleaning import (
     split_timestamp,
 )
 from proxysift.operators.corpus import long_corpus, vector_corpus
-from proxysift.operators.counts import agent_counts, document_word_counts
+from proxysift.operators.counts import agent_counts, document_word_counts, with_valid_word
 from proxysift.operators.dictionaries import dense_index, document_dictionary, word_dictionary
 from proxysift.operators.ingest import (
     accepted,
@@ -49,5 +49,5 @@ __all__ = [
     "record_table", "rejected", "rename_columns", "score_pairs", "score_records",
     "split_timestamp", "timestamp_index", "topic_mix", "topic_weights", "vector_corpus",
     "with_converted_time", "with_domain_info", "with_domains", "with_dominant_topic",
-    "with_popularity", "with_words", "word_dictionary",
+    "with_popularity", "with_words", "word_dictionary", "with_valid_word",
 ]

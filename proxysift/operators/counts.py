@@ -13,10 +13,15 @@ def agent_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("useragent").count()
 
 
+def with_valid_word(worded: DataFrame) -> DataFrame:
+    """Only records that have a word."""
+    return worded.where(F.col("word") != C.WORD_ERROR)
+
+
 def document_word_counts(worded: DataFrame) -> DataFrame:
     """``clientip, word, word_count`` without records that have no word."""
     return (
-        worded.where(F.col("word") != C.WORD_ERROR)
+        with_valid_word(worded)
         .groupBy("clientip", "word")
         .agg(F.count(F.lit(1)).alias("word_count"))
     )

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from proxysift import constants as C
 from proxysift import schemas
 from proxysift.functions import (
+    convert_field,
     epoch_seconds,
     event_date,
     has_text,
@@ -100,9 +101,13 @@ def cast_columns(df: DataFrame) -> DataFrame:
 
 
 def adapt_for_analysis(table: DataFrame) -> DataFrame:
-    """Columns of the ingested table under the names the analysis reads, all as text."""
+    """Columns of the ingested table under the names the analysis reads, all as text.
+
+    A log's placeholder for "no value" becomes NULL, so that no address ends in it and
+    cleaning can drop what is incomplete.
+    """
     names = schemas.ANALYSIS_COLUMNS.items()
-    return table.select(*[F.col(old).cast("string").alias(new) for old, new in names])
+    return table.select(*[convert_field(F.col(old).cast("string")).alias(new) for old, new in names])
 
 
 def parse_csv(lines: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -11,14 +11,19 @@ from pyspark.sql import types as T
 from proxysift import constants as C
 
 _ROW_OVERHEAD = 16
+_FIXED = (T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def _width(field: T.StructField) -> Column:
     column, kind = F.col(f"`{field.name}`"), field.dataType
     if isinstance(kind, T.StringType):
         return F.coalesce(F.octet_length(column), F.lit(0))
-    if isinstance(kind, T.ArrayType):
+    if isinstance(kind, T.BinaryType):
+        return F.coalesce(F.octet_length(column), F.lit(0))
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, _FIXED):
         return F.when(column.isNotNull(), F.size(column) * 8).otherwise(0)
+    if not isinstance(kind, _FIXED):
+        raise TypeError(f"the size of {field.name}, a {kind.simpleString()}, cannot be measured")
     return F.lit(8)
 
 

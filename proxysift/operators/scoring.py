@@ -17,8 +17,11 @@ def word_score(mix: Column, word: Column, probs: Column, topics: int) -> Column:
     """Sum over topics of P(topic | client) * P(word | topic).
 
     A record without a word scores -1; an unseen client or word has no probability, so 0.
+    Arrays that do not have a value for each topic are an error.
     """
-    product = F.coalesce(dot(mix, probs, topics), F.lit(0.0))
+    whole = (F.size(mix) == topics) & (F.size(probs) == topics)
+    wrong = F.raise_error(F.lit(f"an array of probabilities has not {topics} values")).cast("double")
+    product = F.when(mix.isNull() | probs.isNull(), 0.0).when(whole, dot(mix, probs, topics)).otherwise(wrong)
     return F.when(word == C.WORD_ERROR, C.SCORE_ERROR).otherwise(product)
 
 

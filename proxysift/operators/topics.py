@@ -27,7 +27,7 @@ def fit_topics(corpus: DataFrame, documents: int, params: AnalysisParams) -> LDA
         optimizer=params.optimizer, seed=params.seed,
     )
     if params.optimizer == "online":
-        lda = lda.setOptimizeDocConcentration(True).setSubsamplingRate(batch_fraction(documents))
+        lda = lda.setOptimizeDocConcentration(True).setSubsamplingRate(params.batch or batch_fraction(documents))
     least = 1.0 if params.optimizer == "em" else 0.0
     if params.alpha is not None and params.alpha > least:
         lda = lda.setDocConcentration([params.alpha])
@@ -65,14 +65,17 @@ def normalise_weights(weights: DataFrame) -> DataFrame:
     """``word, topic_probs``: each topic's weights divided by their sum, ordered by topic.
 
     The sums are one row per topic, so they are joined by broadcast; no topic's column has
-    to pass through one task.
+    to pass through one task. A word without a weight for each topic, once, is an error.
     """
     sums = weights.groupBy("topic").agg(F.sum("weight").alias("total"))
     shares = weights.join(F.broadcast(sums), "topic").select(
-        "word", F.struct("topic", (F.col("weight") / F.col("total")).alias("p")).alias("entry")
+        "word", F.struct(F.col("topic").cast("int").alias("topic"), (F.col("weight") / F.col("total")).alias("p")).alias("entry")
     )
+    topics = [row.topic for row in sums.select("topic").orderBy("topic").collect()]
+    whole = F.col("entries.topic") == F.array(*map(F.lit, topics)).cast("array<int>")
+    lacking = F.raise_error(F.concat(F.lit("no weight for each topic: "), "word")).cast("array<double>")
     return shares.groupBy("word").agg(F.sort_array(F.collect_list("entry")).alias("entries")).select(
-        "word", F.col("entries.p").alias("topic_probs")
+        "word", F.when(whole, F.col("entries.p")).otherwise(lacking).alias("topic_probs")
     )
 
 

@@ -41,3 +41,5 @@ class AnalysisParams:
     threshold: float = C.SCORE_THRESHOLD
     top: int | None = None
     model_path: str | None = None
+    # Share of the corpus drawn per online iteration; about one document if not given.
+    batch: float | None = None

@@ -6,20 +6,17 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import LDAModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from proxysift import constants as C
 from proxysift.operators import (
     agent_counts,
     document_word_counts,
     filter_suspicious,
     fit_topics,
-    fits_broadcast,
     least_likely_first,
     lookup_join,
     normalise_weights,
     score_pairs,
-    score_records,
     topic_mix,
     topic_weights,
     vector_corpus,
@@ -27,8 +24,8 @@ from proxysift.operators import (
     word_dictionary,
 )
 from proxysift.params import AnalysisParams
-from proxysift.session import durable
-from proxysift.sources import save_model
+from proxysift.session import durable, released
+from proxysift.sources import save_model, write_table
 
 
 @dataclass(frozen=True)
@@ -48,7 +45,7 @@ def train(records: DataFrame, ranked: DataFrame, params: AnalysisParams) -> Trai
     The records are read twice, for the agent counts and for the word counts; everything
     after that works on the counted table.
     """
-    agents = durable(agent_counts(records))
+    agents, ranked = durable(agent_counts(records)), durable(ranked)
     worded = with_words(records, ranked, agents, params.own_domain)
     counts = durable(document_word_counts(worded))
     words = word_dictionary(counts)
@@ -63,30 +60,28 @@ def train(records: DataFrame, ranked: DataFrame, params: AnalysisParams) -> Trai
     return Trained(model, worded, counts, mix, probs)
 
 
-def detect_anomalies(
-    records: DataFrame,
-    ranked: DataFrame,
-    params: AnalysisParams,
-    limit_bytes: int = C.BROADCAST_LIMIT_BYTES,
-) -> DataFrame:
+def detect_anomalies(records: DataFrame, ranked: DataFrame, params: AnalysisParams) -> DataFrame:
     """Suspicious records with their ``word`` and ``score``, least likely first.
 
-    While the topic mixes of all clients can be broadcast, every record is scored where it
-    is read. Beyond that the distinct (client, word) pairs are scored and filtered first,
-    and the records meet only the suspicious pairs: a key of client and word spreads a busy
-    client over many partitions, and a record carries no topic array through the shuffle.
+    The distinct (client, word) pairs are scored and filtered, and the records meet only the
+    suspicious pairs: a key of client and word spreads a busy client over many partitions,
+    and a record carries no topic array through a shuffle.
     """
     trained = train(records, ranked, params)
     worded = trained.worded
-    if fits_broadcast(trained.mix, limit_bytes):
-        scored = score_records(worded, trained.mix, trained.probs, params.topics)
-        suspicious = filter_suspicious(scored, params.threshold)
-    else:
-        pairs = score_pairs(trained.counts, trained.mix, trained.probs, params.topics)
-        unlikely = durable(filter_suspicious(pairs, params.threshold))
-        matched = lookup_join(worded, unlikely, ["clientip", "word"], "inner", limit_bytes)
-        suspicious = matched.select(*worded.columns, "score")
+    pairs = score_pairs(trained.counts, trained.mix, trained.probs, params.topics)
+    unlikely = durable(filter_suspicious(pairs, params.threshold))
+    suspicious = lookup_join(worded, unlikely, ["clientip", "word"], "inner").select(*worded.columns, "score")
     if params.top is None:
         # A full sort samples its input before it reads it; the words are not made twice.
         suspicious = durable(suspicious)
     return least_likely_first(suspicious, params.top)
+
+
+def run_analysis(spark: SparkSession, records: DataFrame, ranked: DataFrame, params: AnalysisParams, out_path: str) -> None:
+    """Write the suspicious records, least likely first, and remove the derived tables.
+
+    Without ``top`` the files are in order of the score, each file by itself.
+    """
+    with released(spark):
+        write_table(detect_anomalies(records, ranked, params), out_path, mode="overwrite")

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proxysift import constants as C
 from proxysift.operators import cast_columns, parse_lines, record_table, rejected
 from proxysift.params import JobParams
+from proxysift.session import durable, released
 from proxysift.sources import read_lines, write_table
 
 
@@ -27,40 +29,46 @@ def proxy_table(parsed: DataFrame, params: JobParams) -> DataFrame:
     return cast_columns(record_table(parsed, params.parser, params.zone)).drop("time")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema("value string").text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def run_proxy_job(spark: SparkSession, params: JobParams) -> JobResult:
-    """Read, parse and write both outputs; an output without rows is not written.
+    """Read, parse and write both outputs.
 
-    The parsed lines are not cached: the cache of a large log is as large as the log. The
-    pass that writes the accepted lines counts the rejected ones on the way, and a second
-    pass is made only when there are any.
+    Lines are parsed once, into a table in the shared folder from which both outputs are
+    cut. An output without rows is not written, but with ``overwrite`` one that an earlier
+    run has left is replaced by an empty table. With ``error`` nothing is written if either
+    target exists.
     """
-    lines = read_lines(spark, params.in_path, params.in_options)
-    parsed = parse_lines(lines, params.parser)
-    if proxy_table(parsed, params).isEmpty():
-        result = JobResult(0, rejected(parsed).count())
-    else:
-        result = _write_accepted(parsed, params)
-    if result.invalid:
-        write_table(
-            rejected(parsed), params.invalid_path, params.out_format, params.save_mode,
-            options=params.out_options,
-        )
+    targets = {path: _exists(spark, path) for path in (params.out_path, params.invalid_path)}
+    if params.save_mode == "error" and any(targets.values()):
+        raise FileExistsError(f"an output already exists at {[path for path, there in targets.items() if there]}")
+    with released(spark):
+        parsed = durable(parse_lines(read_lines(spark, params.in_path, params.in_options), params.parser))
+        is_valid = F.col("error").isNull()
+        counts = parsed.agg(F.count_if(is_valid).alias("valid"), F.count_if(~is_valid).alias("invalid")).first()
+        result = JobResult(**counts.asDict())
+        clear = params.save_mode == "overwrite"
+        if result.valid or (clear and targets[params.out_path]):
+            write_table(
+                proxy_table(parsed, params), params.out_path, params.out_format, params.save_mode,
+                [C.PARTITION_COLUMN] if result.valid else [], params.out_options,
+            )
+        if result.invalid or (clear and targets[params.invalid_path]):
+            write_table(
+                rejected(parsed), params.invalid_path, params.out_format, params.save_mode,
+                options=params.out_options,
+            )
     return result
 
 
-def _write_accepted(parsed: DataFrame, params: JobParams) -> JobResult:
-    is_valid = F.col("error").isNull()
-    totals = [F.count_if(is_valid).alias("valid"), F.count_if(~is_valid).alias("invalid")]
-    # A write that is skipped because its target exists would never report its counts.
-    seen = None if params.save_mode == "ignore" else Observation("parsed lines")
-    counted = parsed.observe(seen, *totals) if seen else parsed
-    write_table(
-        proxy_table(counted, params), params.out_path, params.out_format, params.save_mode,
-        [C.PARTITION_COLUMN], params.out_options,
-    )
-    return JobResult(**(seen.get if seen else parsed.agg(*totals).first().asDict()))
-
-
 # Jobs by parser name.
 JOBS: dict[str, Callable[[SparkSession, JobParams], JobResult]] = {"Proxy": run_proxy_job}
 

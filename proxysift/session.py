@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +21,10 @@ RUNTIME_SETTINGS = {
 }
 
 SHUFFLE_PARTITION_BYTES = 64 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 100_000
+LEAST_SHUFFLE_PARTITIONS = 200
+
+# Paths of the tables that ``durable`` wrote, by application.
+_made: dict[str, list[str]] = {}
 
 STATIC_SETTINGS = {
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
@@ -36,7 +41,7 @@ def build_session(
     """
     settings = {**STATIC_SETTINGS, **RUNTIME_SETTINGS}
     if input_bytes:
-        parts = min(max(input_bytes // SHUFFLE_PARTITION_BYTES, 200), MOST_SHUFFLE_PARTITIONS)
+        parts = max(input_bytes // SHUFFLE_PARTITION_BYTES, LEAST_SHUFFLE_PARTITIONS)
         settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(parts)
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -75,9 +80,28 @@ def durable(df: DataFrame) -> DataFrame:
 
     Used for derived tables (counts, dictionaries, the corpus) that feed several later jobs.
     It cuts the lineage: a lost executor costs a re-read of this table, not of the logs, and
-    a later job reads only the columns it needs.
+    a later job reads only the columns it needs. ``released`` removes the tables again.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid4().hex}"
     df.write.parquet(path)
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, the derived tables that were written inside it.
+
+    For jobs that have written their result by then; a DataFrame that still reads such a
+    table cannot be used afterwards.
+    """
+    made = _made.setdefault(spark.sparkContext.applicationId, [])
+    before = len(made)
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        while len(made) > before:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(made.pop())
+            path.getFileSystem(hadoop).delete(path, True)

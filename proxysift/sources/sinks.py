@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.clustering import DistributedLDAModel, LDAModel, LocalLDAModel
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReader
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(
@@ -27,6 +28,7 @@ def save_model(model: LDAModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def load_model(path: str, optimizer: str = "online") -> LDAModel:
-    """A saved model; the class depends on the optimizer it was fitted with."""
-    return (DistributedLDAModel if optimizer == "em" else LocalLDAModel).load(path)
+def load_model(path: str) -> LDAModel:
+    """A saved model; its metadata say which optimizer it was fitted with."""
+    kind = DefaultParamsReader.loadMetadata(path, SparkSession.active())["class"]
+    return (DistributedLDAModel if kind.endswith("DistributedLDAModel") else LocalLDAModel).load(path)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import sys
 from pathlib import Path
 
@@ -12,12 +13,13 @@ from proxysift import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
-        "tests", "local[8]",
+        "tests", f"local[{os.environ.get("TEST_CPUS", "8")}]",
         **{
             "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "6g",
+            "spark.checkpoint.dir": tmp_path_factory.mktemp("shared").as_uri(),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

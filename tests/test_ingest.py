@@ -118,6 +118,33 @@ def test_save_modes(spark, tmp_path):
     assert rows() == 1
 
 
+def test_outputs_agree_in_every_save_mode(spark, tmp_path):
+    mixed, clean = write_lines(spark, tmp_path / "m", GOOD, SHORT), write_lines(spark, tmp_path / "c", GOOD)
+    bad = write_lines(spark, tmp_path / "b", SHORT)
+    out, rejects = str(tmp_path / "out"), str(tmp_path / "out_invalid")
+
+    def job(source, mode):
+        return run_job(spark, JobParams("Proxy", in_path=source, out_path=out, save_mode=mode))
+
+    job(mixed, "overwrite")
+    assert job(clean, "overwrite").invalid == 0
+    assert spark.read.parquet(rejects).count() == 0 and spark.read.parquet(out).count() == 1
+    assert job(bad, "overwrite").valid == 0
+    assert spark.read.parquet(rejects).count() == 1 and spark.read.parquet(out).count() == 0
+    other = str(tmp_path / "new")
+    spark.read.parquet(rejects).write.parquet(other + "_invalid")
+    with pytest.raises(FileExistsError, match="new_invalid"):
+        run_job(spark, JobParams("Proxy", in_path=mixed, out_path=other))
+    assert not (tmp_path / "new").exists()
+
+
+def test_placeholders_do_not_reach_the_analysis(spark):
+    line = GOOD.replace("?q=1", "-").replace("www.shop.com", "-", 1)
+    parsed = op.parse_lines(lines_of(spark, GOOD, line))
+    adapted = op.adapt_for_analysis(op.cast_columns(op.record_table(parsed)))
+    assert adapted.where("csHost = '-' OR csUriQuery = '-'").count() == 0
+
+
 def test_other_output_format_and_options(spark, tmp_path):
     source = write_lines(spark, tmp_path / "in", GOOD)
     params = JobParams(

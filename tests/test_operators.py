@@ -107,6 +107,9 @@ def test_measured_bytes(spark):
     df = spark.createDataFrame([("abcd", [1.0, 2.0]), (None, None)], "s string, a array<double>")
     assert op.measured_bytes(df) == 2 * 16 + 4 + 16
     assert op.measured_bytes(df.limit(0)) == 0
+    for odd in ("map<string,int>", "struct<a:int>", "array<string>"):
+        with pytest.raises(TypeError, match="cannot be measured"):
+            op.measured_bytes(spark.createDataFrame([], f"x {odd}"))
 
 
 def test_dense_index_over_many_partitions(spark):
@@ -183,7 +186,7 @@ def test_model_survives_saving(spark, tmp_path, optimizer):
     model, corpus, words = fitted(spark, optimizer=optimizer)
     sources.save_model(model, str(tmp_path / "m"))
     sources.save_model(model, str(tmp_path / "m"))
-    loaded = sources.load_model(str(tmp_path / "m"), optimizer)
+    loaded = sources.load_model(str(tmp_path / "m"))
 
     def weights(m):
         rows = op.topic_weights(m, words).collect()
@@ -197,6 +200,8 @@ def test_normalise_weights(spark):
     df = spark.createDataFrame(rows, "word string, topic int, weight double")
     found = {r.word: r.topic_probs for r in op.normalise_weights(df).collect()}
     assert found == {"a": [0.25, 0.75], "b": [0.75, 0.25]}
+    with pytest.raises(Exception, match="no weight for each topic"):
+        op.normalise_weights(df.where("word = 'a' OR topic = 1")).collect()
 
 
 def test_mix_names_and_dominant_topic(spark):
@@ -217,6 +222,14 @@ def test_scores(spark):
     }
 
 
+def test_arrays_of_a_wrong_length_are_noticed(spark):
+    mix = spark.createDataFrame([("ip", [1.0])], "document_name string, topic_prob_mix array<double>")
+    probs = spark.createDataFrame([("w", [0.2, 0.4])], "word string, topic_probs array<double>")
+    df = spark.createDataFrame([("ip", "w")], "clientip string, word string")
+    with pytest.raises(Exception, match="has not 2 values"):
+        op.score_records(df, mix, probs, 2).collect()
+
+
 def test_threshold_and_order(spark):
     df = spark.createDataFrame([(s,) for s in (-1.0, 0.0, 0.5, 0.51, 0.2)], "score double")
     kept = op.least_likely_first(op.filter_suspicious(df, 0.5))

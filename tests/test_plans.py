@@ -1,13 +1,15 @@
 """Shape of the physical plans, and the whole analysis."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from catalog import tables as t
 from proxysift import AnalysisParams
 from proxysift import operators as op
-from proxysift.plans import detect_anomalies, train
-from proxysift.session import durable
+from proxysift.plans import detect_anomalies, run_analysis, train
+from proxysift.session import durable, shared_folder
 
 SF = "/root/testdata/sf0.001"
 
@@ -67,14 +69,20 @@ def test_analysis_end_to_end(spark, stored, tmp_path):
     scores = [row.score for row in found.collect()]
     assert scores == sorted(scores) and all(0 <= s <= 0.5 for s in scores)
     assert found.columns == [*records.columns, "word", "score"]
-    assert len(scores) == records.count()
-    by_pairs = detect_anomalies(records, ranked, params, limit_bytes=0)
-    assert [row.score for row in by_pairs.collect()] == pytest.approx(scores, abs=1e-12)
+    assert len(scores) == op.with_valid_word(trained.worded).count()
     assert (tmp_path / "model" / "metadata").exists()
-    first = AnalysisParams(topics=4, iterations=5, top=7)
-    top = detect_anomalies(records, ranked, first)
-    top_by_pairs = detect_anomalies(records, ranked, first, limit_bytes=0)
-    assert top.count() == 7 and "TakeOrderedAndProject" in plan(top)
-    by_records = [row.score for row in top.collect()]
-    assert [row.score for row in top_by_pairs.collect()] == pytest.approx(by_records, abs=1e-12)
-    assert "SortMergeJoin" not in plan(top) and "SortMergeJoin" in plan(top_by_pairs)
+    scored = op.score_records(trained.worded, trained.mix, trained.probs, 4)
+    by_records = sorted(row.score for row in op.filter_suspicious(scored).collect())
+    first = detect_anomalies(records, ranked, AnalysisParams(topics=4, iterations=5, top=7))
+    assert first.count() == 7 and "TakeOrderedAndProject" in plan(first)
+    assert len(by_records) == len(scores)
+
+
+def test_analysis_as_a_job(spark, stored, tmp_path):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    records = op.clean_records(spark.read.parquet(stored))
+    out = str(tmp_path / "out")
+    run_analysis(spark, records, t.ranked(spark, SF), AnalysisParams(topics=4, iterations=3, top=5), out)
+    assert spark.read.parquet(out).count() == 5
+    assert set(folder.iterdir()) == before
