@@ -22,25 +22,23 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
-def _keep(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose document is in ``decisions`` (``doc_id, mark``)."""
-    chosen = decisions.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
-    same: Column = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_mark"))
-    return docs.join(chosen, same, "left_semi")
-
-
-def _leave(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose document is not in ``decisions``."""
-    chosen = decisions.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
-    same: Column = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_mark"))
-    return docs.join(chosen, same, "left_anti")
+def _decided(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` whose document is (``left_semi``) or is not (``left_anti``) among the
+    decisions (``doc_id, mark``). Columns travel as one, so that no name can clash."""
+    chosen = decisions.select("doc_id", "mark").distinct()
+    held = docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("held"),
+        F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"),
+    )
+    same: Column = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("mark"))
+    return held.join(chosen, same, how).select("held.*")
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
     tagger = toxicity.train(docs, table(spark, sf_dir, "labels"))
     scores = toxicity.toxicity_scores(docs.select("doc_id", "text"), tagger)
-    return _leave(docs, scores.where("predicted = 1"))
+    return _decided(docs, scores.where("predicted = 1"), "left_anti")
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +48,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """
     groups = ngram_join.similar_components(docs.select("doc_id", "text"), NEAR_WORDS, NEAR_PERCENT)
     chosen = groups.where((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = _keep(docs, chosen)
+    kept = _decided(docs, chosen, "left_semi")
     return kept.dropDuplicates(["doc_id", "text"])
 
 
@@ -64,7 +62,7 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     matches = decontamination.benchmark_matches(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return _leave(docs, matches.where(F.size("spans") > 0))
+    return _decided(docs, matches.where(F.size("spans") > 0), "left_anti")
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -119,12 +119,15 @@ def mixed(
     sizes = _sizes(docs)
     plan = sampled(sizes, source_targets(sizes, weights, share, most), seed)
     drawn = plan.groupBy("doc_id", "source", "mark").agg(F.sum("copies").alias("copies")).where("copies > 0")
-    drawn = drawn.select(*(F.col(name).alias(f"_mix_{name}") for name in drawn.columns))
-    marked = docs.withColumn("_mark", row_hash(F.col("text"))).dropDuplicates(["doc_id", "source", "_mark"])
+    # The other columns travel as one, so that none of their names can clash.
+    kept = [name for name in docs.columns if name != copy]
+    marked = docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in kept]).alias("held"), row_hash(F.col("text")).alias("mark"),
+        F.col("doc_id").alias("id"), F.col("source").alias("from"),
+    ).dropDuplicates(["id", "from", "mark"])
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_mix_doc_id")) & (F.col("_mark") == F.col("_mix_mark"))
-        & F.col("source").eqNullSafe(F.col("_mix_source"))
+        F.col("doc_id").eqNullSafe(F.col("id")) & (marked["mark"] == drawn["mark"])
+        & F.col("source").eqNullSafe(F.col("from"))
     )
-    numbers = F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))).alias(copy)
-    kept = [F.col(f"`{name}`") for name in docs.columns if name != copy]
-    return marked.join(drawn, same).select(*kept, numbers)
+    numbers = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(copy)
+    return marked.join(drawn, same).select(*[F.col("held").getField(name).alias(name) for name in kept], numbers)

@@ -129,12 +129,15 @@ def without_repeated_spans(
     doc_id comes before all others; documents keep their row even if no text is left.
     """
     spans = repeated_spans(docs, sentences, words, long_words)
-    spans = spans.select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), F.col("spans").alias("_spans"))
-    same = (F.coalesce(docs["doc_id"], F.lit(-(1 << 63))) == F.col("_id")) & (row_hash(docs["text"]) == F.col("_mark"))
     others = [name for name in docs.columns if name not in ("text", removed, total)]
-    rows = docs.join(spans, same, "left").select(
+    # The other columns travel as one, so that none of their names can clash.
+    held = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in others]).alias("_row"), F.col("text").alias("_original"),
-        F.coalesce("text", F.lit("")).alias("_text"), F.coalesce("_spans", F.array().cast("array<struct<start:int,stop:int>>")).alias("_spans"),
+        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), row_hash(F.col("text")).alias("mark"),
+    )
+    none = F.array().cast("array<struct<start:int,stop:int>>")
+    rows = held.join(spans, ["id", "mark"], "left").select(
+        "_row", "_original", F.coalesce("_original", F.lit("")).alias("_text"), F.coalesce("spans", none).alias("_spans")
     )
     return _apply(rows, docs, others, removed, total)
 
