@@ -3,23 +3,27 @@
 A document's set is its distinct n-grams. Sets that are equal are one node. N-grams are
 ordered from rare to frequent (the order decides the cost, never the result); two sets that
 reach the similarity share one of the first grams of both, so only these are put in inverted
-lists, and lists of one node are left out.
-
-Each list is searched where its nodes meet. A node asks for all others of the list that
-occur often enough in the lists of its own grams: the longest lists are set aside, as many
-as may be missed, the short ones are merged, and what occurs often enough in them is probed
-in the long ones by binary search (DivideSkip). Lists that are too long for one task are cut
-in blocks, and each pair of blocks is a task.
+lists, with their place in the set, and lists of one node are left out. Where a list's nodes
+meet, two of them are candidates if their sizes and places leave enough grams for the
+overlap they need. Lists that are too long for one task are cut in blocks, and each pair of
+blocks is a task.
+
+Candidates are first compared by summaries: how many grams of a set fall in each of some
+buckets, about four in each; the smaller counts of all buckets together bound the overlap
+from above. What can still be similar is searched together, by node, on the whole sets: each of the node's
+grams has the list of candidates that hold it, the longest lists are set aside, as many as
+may be missed, the short ones are merged by a heap, what occurs often enough in them is
+probed in the long ones by binary search (DivideSkip), and candidates that reach their
+required overlap are links.
 
 What is asked for are components. A first pass follows the two most promising others of each
 node in each list; a second pass looks at every pair that is not yet connected, so no link
-between different components is missed. Pairs that pass are checked on the whole sets.
+between different components is missed.
 """
 
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -109,6 +113,30 @@ def _signatures(grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _summaries(grams: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Grams per bucket of each set, as bytes; the number of buckets is a power of two.
+
+    Empty if a count does not fit in a byte, which says nothing about the set.
+    """
+    buckets = 2 ** np.ceil(np.log2(np.maximum(sizes / 4, 1))).astype(np.int64)
+    ends = np.cumsum(buckets)
+    at = np.repeat(ends - buckets, sizes) + (grams & np.repeat(buckets - 1, sizes).astype(np.uint64)).astype(np.int64)
+    counts = np.bincount(at, minlength=int(ends[-1]) if len(ends) else 0)
+    packed = np.minimum(counts, 255).astype(np.uint8).tobytes()
+    fits = np.maximum.reduceat(counts, ends - buckets) < 255 if len(ends) else []
+    return [packed[end - n : end] if fit else b"" for end, n, fit in zip(ends, buckets, fits, strict=True)]
+
+
+def overlap_bound(a: bytes, b: bytes) -> tuple[int, int, int] | None:
+    """Upper bound of the overlap of two sets, and their sizes; None if a summary is empty."""
+    if not a or not b:
+        return None
+    x, y = (np.frombuffer(v, dtype=np.uint8).astype(np.int64) for v in (a, b))
+    few = min(len(x), len(y))
+    x, y = x.reshape(-1, few).sum(axis=0), y.reshape(-1, few).sum(axis=0)
+    return int(np.minimum(x, y).sum()), int(x.sum()), int(y.sum())
+
+
 def _slices(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
     piece = batch["text"].str.len().cumsum().floordiv(_SLICE)
     for _, rows in batch.groupby(piece, sort=False):
@@ -124,7 +152,8 @@ def _profile(words: int):
         def repeated() -> pd.DataFrame:
             found, n = np.unique(np.concatenate(waiting), return_counts=True)
             return pd.DataFrame({
-                "row": np.int64(-1), "node": np.int64(0), "size": n[n > 2].astype(np.int32), "gram": found[n > 2].view(np.int64)
+                "row": np.int64(-1), "node": np.int64(0), "size": n[n > 2].astype(np.int32), "gram": found[n > 2].view(np.int64),
+                "summary": b"",
             })
 
         for batch in batches:
@@ -132,7 +161,7 @@ def _profile(words: int):
                 grams, sizes = gram_sets(rows["text"].tolist(), words)
                 yield pd.DataFrame({
                     "row": rows["row"].to_numpy(np.int64), "node": _signatures(grams, sizes),
-                    "size": sizes.astype(np.int32), "gram": np.int64(0),
+                    "size": sizes.astype(np.int32), "gram": np.int64(0), "summary": _summaries(grams, sizes),
                 })
                 waiting.append(grams)
                 size += len(grams)
@@ -156,7 +185,7 @@ def _prefix(n, percent: int):
 
 
 def _post(ranked: np.ndarray, ranks: np.ndarray, words: int, percent: int):
-    """Postings ``key, node, size`` of the first grams of each set in the common order."""
+    """Postings ``key, node, size, place`` of the first grams of each set in the common order."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -174,7 +203,8 @@ def _post(ranked: np.ndarray, ranks: np.ndarray, words: int, percent: int):
                 place = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 kept = (place < _prefix(sizes, percent)[of]) & np.isin(of, once)
                 yield pd.DataFrame({
-                    "key": keys[kept], "node": nodes[of[kept]], "size": sizes[of[kept]].astype(np.int32)
+                    "key": keys[kept], "node": nodes[of[kept]], "size": sizes[of[kept]].astype(np.int32),
+                    "place": place[kept].astype(np.int32),
                 })
 
     return run
@@ -240,92 +270,81 @@ def t_occurrence(lists: list[np.ndarray], least: int) -> dict[int, int]:
     return dict(zip(numbers[kept].tolist(), counts[kept].tolist(), strict=True))
 
 
-def _search(key: int, rows: list[tuple], percent: int, most: int | None) -> Iterator[tuple[int, int]]:
-    """Pairs of nodes of one cell whose first common key is ``key`` and that may be similar.
+def _search(cell: np.ndarray, crossing: bool, percent: int, most: int | None) -> Iterator[tuple[int, int]]:
+    """Pairs of nodes of one cell that may be similar.
 
-    Rows are (node, size, root, keys, block, crossing). With ``most`` each node names only
-    its most promising others.
+    A pair needs an overlap of which this list gives one gram; if it is their first common
+    gram, only what follows it in both sets can give more. A similar pair passes in the cell
+    of its first common gram. With ``most`` each node names only the others whose place is
+    the earliest.
     """
-    rows = sorted(rows, key=lambda r: (r[1], r[0]))
-    sizes = [r[1] for r in rows]
-    tails = [r[3][bisect_left(r[3], key):] for r in rows]
-    lists: dict[int, list[int]] = {}
-    for i, keys in enumerate(tails):
-        for k in keys:
-            lists.setdefault(k, []).append(i)
-    arrays = {k: np.array(v) for k, v in lists.items() if len(v) > 1}
-    roots = {}
-    for r in rows:
-        roots[r[2]] = roots.get(r[2], 0) + 1
-    largest = max(roots, key=roots.get)
-    if most is None and len(roots) == 1:
-        return
-    earlier = [set(r[3][: bisect_left(r[3], key)]) for r in rows]
-    for i, (node, n, root, _, block, crossing) in enumerate(rows):
-        if most is None and root == largest:
-            continue  # pairs with it are asked for by the other side
-        # Others no larger than this one; in the second pass larger ones as well.
-        low = bisect_left(sizes, -((-percent * n) // 100))
-        high = i if most is not None else bisect_left(sizes, 100 * n // percent + 1)
-        if low >= high:
+    order = np.lexsort((cell["node"], cell["size"]))
+    node, size, place, root, block = (cell[name][order].astype(np.int64) for name in ("node", "size", "place", "root", "block"))
+    left = size - place
+    low = np.searchsorted(size, -((-percent * size) // 100))
+    for i in range(1, len(node)):
+        j = slice(low[i], i)
+        if low[i] == i:
             continue
-        own = [arrays[k] for k in tails[i] if k in arrays]
-        cut = [x[bisect_left(x, low) : bisect_left(x, high)] for x in own]
-        cut = [x for x in cut if len(x)]
-        if not cut:
-            continue
-        sides = sizes[low], sizes[high - 1]
-        rest = max(n, sides[1]) - _prefix(max(n, sides[1]), percent)
-        least = max(1, required(n, sides[0], percent) - rest)
-        if least > len(cut):
-            continue
-        found = []
-        for j, count in t_occurrence(cut, least).items():
-            other = rows[j]
-            if j == i or other[2] == root or (crossing and other[4] == block):
-                continue
-            if most is None and j > i and other[2] != largest and root != largest:
-                continue  # the other one asks for it
-            m = other[1]
-            slack = count + max(n - _prefix(n, percent), m - _prefix(m, percent)) - required(n, m, percent)
-            if slack >= 0 and earlier[i].isdisjoint(earlier[j]):
-                found.append((slack, other[0]))
-        if most is not None:
-            found = heapq.nlargest(most, found)
-        for _, other_node in found:
-            yield (node, other_node) if node < other_node else (other_node, node)
+        need = required(size[i], size[j], percent)
+        good = (left[i] >= need) & (left[j] >= need) & (root[j] != root[i])
+        if crossing:
+            good &= block[j] != block[i]
+        others = np.flatnonzero(good) + low[i]
+        if most is not None and len(others) > most:
+            others = others[np.argsort(place[others], kind="stable")[:most]]
+        for other in others.tolist():
+            a, b = int(node[i]), int(node[other])
+            yield (a, b) if a < b else (b, a)
 
 
 def _cells(percent: int, most: int | None):
     """Search the cells of sorted rows one after the other."""
+    names = ["key", "i", "j", "node", "size", "place", "root", "block"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cell, rows = None, []
+        held: dict[str, list[np.ndarray]] = {name: [] for name in names}
+        last = None
+
+        def pairs(cells: list[tuple[dict, bool]]) -> pd.DataFrame:
+            found = {pair for cell, crossing in cells for pair in _search(cell, crossing, percent, most)}
+            return pd.DataFrame(sorted(found), columns=["a", "b"], dtype=np.int64)
 
-        def pairs(found: Iterator[tuple[int, int]]) -> pd.DataFrame:
-            return pd.DataFrame(list(found), columns=["a", "b"], dtype=np.int64).drop_duplicates()
+        def joined() -> dict[str, np.ndarray]:
+            return {name: np.concatenate(held[name]) for name in names}
 
         for batch in batches:
-            out = []
-            for key, i, j, node, size, root, keys, block in batch.itertuples(index=False):
-                if (key, i, j) != cell:
-                    if len(rows) > 1:
-                        out += _search(cell[0], rows, percent, most)
-                    cell, rows = (key, i, j), []
-                rows.append((node, size, root, keys.tolist(), block, i != j))
-            yield pairs(out)
-        if len(rows) > 1:
-            yield pairs(_search(cell[0], rows, percent, most))
+            columns = {name: batch[name].to_numpy() for name in names}
+            n = len(batch)
+            if not n:
+                continue
+            new = np.ones(n, bool)
+            new[1:] = np.any([columns[c][1:] != columns[c][:-1] for c in names[:3]], axis=0)
+            new[0] = tuple(columns[c][0] for c in names[:3]) != last
+            ready = []
+            starts = np.flatnonzero(new)
+            bounds = np.concatenate([[0], starts[starts > 0], [n]])
+            for start, stop in zip(bounds[:-1], bounds[1:], strict=True):
+                if new[start] and held["key"]:
+                    cell = joined()
+                    if len(cell["key"]) > 1:
+                        ready.append((cell, bool(cell["i"][0] != cell["j"][0])))
+                    held = {name: [] for name in names}
+                for name in names:
+                    held[name].append(columns[name][start:stop])
+            last = tuple(columns[c][-1] for c in names[:3])
+            yield pairs(ready)
+        if held["key"]:
+            cell = joined()
+            yield pairs([(cell, bool(cell["i"][0] != cell["j"][0]))])
 
     return run
 
 
 def _candidates(postings: DataFrame, roots: DataFrame | None, percent: int, most: int | None) -> DataFrame:
     """Distinct pairs ``a, b`` of nodes with a common list that may be similar."""
-    keys = postings.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    nodes = keys if roots is None else keys.join(roots, "node", "left")
-    root = F.col("node") if roots is None else F.coalesce("root", "node")
-    rows = postings.join(nodes.select("node", "keys", root.alias("root")), "node")
+    rows = postings if roots is None else postings.join(roots, "node", "left")
+    rows = rows.withColumn("root", F.col("node") if roots is None else F.coalesce("root", "node"))
     long = postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
     blocks = F.coalesce(F.ceil(F.col("n") / BLOCK), F.lit(1)).cast("int")
     rows = rows.join(long, "key", "left").withColumn("blocks", blocks)
@@ -333,7 +352,7 @@ def _candidates(postings: DataFrame, roots: DataFrame | None, percent: int, most
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = rows.select(
         "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "node", "size", "root", "keys", "block",
+        "node", "size", "place", "root", "block",
     )
     dealt = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return dealt.mapInPandas(_cells(percent, most), "a bigint, b bigint").distinct()
@@ -351,28 +370,88 @@ def _to_sets(words: int):
     return run
 
 
-def _check(percent: int):
+def similar_to(own: np.ndarray, others: list[np.ndarray], percent: int) -> list[int]:
+    """Places in ``others`` of the sets that are similar to ``own``, which is sorted."""
+    need = [int(required(len(own), len(other), percent)) for other in others]
+    grams, holders = [], []
+    for i, other in enumerate(others):
+        at = np.searchsorted(own, other)
+        held = at[(at < len(own)) & (own[np.minimum(at, len(own) - 1)] == other)]
+        grams.append(held)
+        holders.append(np.full(len(held), i))
+    gram, holder = np.concatenate(grams), np.concatenate(holders)
+    order = np.lexsort((holder, gram))
+    cuts = np.flatnonzero(np.diff(gram[order])) + 1
+    lists = [x for x in np.split(holder[order], cuts) if len(x)]
+    if len(lists) < min(need):
+        return []
+    return [i for i, count in t_occurrence(lists, min(need)).items() if count >= need[i]]
+
+
+def _check(percent: int, together: int = 64):
+    """Search the candidates of each node, which follow its own set, some at a time."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        node, own, ids, sets = None, None, [], []
+
+        def links() -> list[tuple[int, int]]:
+            found = [(node, ids[i]) for i in similar_to(own, sets, percent)] if ids else []
+            ids.clear()
+            sets.clear()
+            return found
+
+        for batch in batches:
+            out = []
+            for a, kind, b, grams in zip(batch["a"], batch["kind"], batch["b"], batch["grams"], strict=True):
+                if kind == 0:
+                    out += links()
+                    node, own = int(a), np.sort(grams)
+                else:
+                    ids.append(int(b))
+                    sets.append(grams)
+                    if len(ids) >= together:
+                        out += links()
+            yield pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+        yield pd.DataFrame(links(), columns=["a", "b"], dtype=np.int64)
+
+    return run
+
+
+def _possible(percent: int):
+    """Pairs whose summaries leave room for the overlap they need."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             kept = []
-            for a, b in zip(batch["x"], batch["y"], strict=True):
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                kept.append(100 * both >= percent * (len(a) + len(b) - both))
+            for x, y in zip(batch["x"], batch["y"], strict=True):
+                bound = overlap_bound(x, y)
+                kept.append(bound is None or bound[0] >= required(bound[1], bound[2], percent))
             yield batch.loc[kept, ["a", "b"]]
 
     return run
 
 
-def _links(pairs: DataFrame, texts: DataFrame, holders: DataFrame, words: int, percent: int) -> DataFrame:
+def _links(
+    pairs: DataFrame, texts: DataFrame, holders: DataFrame, summaries: DataFrame, words: int, percent: int
+) -> DataFrame:
     """The pairs whose whole sets are similar; sets are made of the nodes in pairs alone."""
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    short = asked.join(holders, "node").join(summaries, "row").select("node", "summary")
+    both = pairs.join(short.select(F.col("node").alias("a"), F.col("summary").alias("x")), "a").join(
+        short.select(F.col("node").alias("b"), F.col("summary").alias("y")), "b"
+    )
+    pairs = durable(both.select("a", "b", "x", "y").mapInPandas(_possible(percent), "a bigint, b bigint"))
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = asked.join(holders, "node")
     rows = texts.join(wanted, "row").select("node", "text")
     sets = durable(rows.mapInPandas(_to_sets(words), "node bigint, grams array<bigint>"))
-    joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b"
+    own = sets.join(pairs.select(F.col("a").alias("node")).distinct(), "node").select(
+        F.col("node").alias("a"), F.lit(0).alias("kind"), F.col("node").alias("b"), "grams"
     )
-    return durable(joined.select("a", "b", "x", "y").mapInPandas(_check(percent), "a bigint, b bigint"))
+    others = pairs.join(sets.withColumnRenamed("node", "b"), "b").select("a", F.lit(1).alias("kind"), "b", "grams")
+    # A node has few candidates in the first pass; in the second those of other components.
+    rows = own.unionByName(others).repartition("a").sortWithinPartitions("a", "kind")
+    return durable(rows.mapInPandas(_check(percent), "a bigint, b bigint"))
 
 
 def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -387,8 +466,9 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     # Equal rows share a number, so that it survives being computed again.
     row = F.xxhash64("doc_id", "text")
     texts = docs.select(row.alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    profile = durable(texts.mapInPandas(_profile(words), "row bigint, node bigint, size int, gram bigint"))
-    rows = profile.where("row != -1 OR gram = 0").select("row", "node", "size")
+    profile = durable(texts.mapInPandas(_profile(words), "row bigint, node bigint, size int, gram bigint, summary binary"))
+    documents = profile.where("row != -1 OR gram = 0")
+    rows = documents.select("row", "node", "size")
     frequent = (
         profile.where("row = -1 AND gram != 0").groupBy("gram").agg(F.sum("size").alias("n"))
         .orderBy(F.col("n").desc(), "gram").limit(RANKED)
@@ -403,14 +483,15 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return _post(*table.value, words, percent)(batches)
 
-    posted = texts.mapInPandas(post, "key bigint, node bigint, size int")
+    posted = texts.mapInPandas(post, "key bigint, node bigint, size int, place int")
     postings = durable(posted.repartition("key").sortWithinPartitions("key", "node").mapInPandas(_shared, posted.schema))
     holders = rows.where("size > 0").groupBy("node").agg(F.min("row").alias("row"))
+    summaries = documents.select("row", "summary").dropDuplicates(["row"])
     texts = texts.dropDuplicates(["row"]) if _has_repeats(rows) else texts
 
-    first = _links(durable(_candidates(postings, None, percent, 2)), texts, holders, words, percent)
+    first = _links(durable(_candidates(postings, None, percent, 2)), texts, holders, summaries, words, percent)
     roots = connected_components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    second = _links(durable(_candidates(postings, roots, percent, None)), texts, holders, words, percent)
+    second = _links(durable(_candidates(postings, roots, percent, None)), texts, holders, summaries, words, percent)
     links = first.union(second).select(F.col("a").alias("u"), F.col("b").alias("v"))
     roots = connected_components(links)
 
