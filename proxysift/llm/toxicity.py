@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -24,11 +24,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_TOXIC = 1500
-SAMPLE_CLEAN = 4500
+SAMPLE_TOXIC = 1000
+SAMPLE_CLEAN = 3000
 # The chain is fitted on sampled texts of at most this many tokens.
 CHAIN_TOKENS = 1500
-CHAIN_STEPS = 60
+CHAIN_STEPS = 40
 
 PREFIXES = (4, 5)
 LEAST_SUPPORT = 4
@@ -75,7 +75,7 @@ class Tagger:
         return value
 
 
-def _blocks(lengths: np.ndarray, most: int = 512, cells: int = 2_000_000) -> Iterator[np.ndarray]:
+def _blocks(lengths: np.ndarray, most: int = 512, cells: int = 300_000) -> Iterator[np.ndarray]:
     """Rows in order of length, in blocks of a bounded padded size."""
     block: list[int] = []
     for row in np.argsort(lengths, kind="stable"):
@@ -129,22 +129,30 @@ def _lexicon(texts: list[list[str]], toxic: np.ndarray) -> dict[str, float]:
 
     Copies and near copies count once as far as one min-hash of word pairs tells them.
     """
-    seen: dict[str, tuple[set, set]] = defaultdict(lambda: (set(), set()))
-    groups: tuple[set, set] = (set(), set())
-    for words, label in zip(texts, toxic, strict=True):
+    groups: tuple[dict, dict] = ({}, {})  # min-hash -> places of texts
+    for i, (words, label) in enumerate(zip(texts, toxic, strict=True)):
         pairs = (zlib.crc32(f"{a} {b}".encode()) for a, b in zip(words, words[1:], strict=False))
         group = min(pairs, default=zlib.crc32(" ".join(words).encode()))
-        groups[label].add(group)
-        for feature in {f for w in set(words) for f in _features(w)}:
-            seen[feature][label].add(group)
+        groups[label].setdefault(group, []).append(i)
+
+    def counted(label: int, known: Counter | None) -> Counter:
+        seen: Counter = Counter()
+        for places in groups[label].values():
+            words = {w for i in places for w in texts[i]}
+            features = {f for w in words for f in _features(w)}
+            seen.update(features if known is None else features & known.keys())
+        return seen
+
+    inside = Counter({f: n for f, n in counted(1, None).items() if n >= LEAST_SUPPORT})
+    outside = counted(0, inside)
     clean, bad = len(groups[0]), len(groups[1])
     found = {}
-    for feature, (a, b) in seen.items():
-        if len(b) >= LEAST_SUPPORT:
-            odds = math.log((len(b) + 0.5) / (bad + 1)) - math.log((len(a) + 0.5) / (clean + 1))
-            least = odds - 2 * math.sqrt(1 / (len(b) + 0.5) + 1 / (len(a) + 0.5))
-            if least >= LEAST_ODDS:
-                found[feature] = least
+    for feature, b in inside.items():
+        a = outside[feature]
+        odds = math.log((b + 0.5) / (bad + 1)) - math.log((a + 0.5) / (clean + 1))
+        least = odds - 2 * math.sqrt(1 / (b + 0.5) + 1 / (a + 0.5))
+        if least >= LEAST_ODDS:
+            found[feature] = least
     return found
 
 
@@ -237,8 +245,8 @@ def fit(rows: Iterable[tuple[str | None, int]]) -> Tagger:
         for words, label in zip(texts, toxic, strict=True)
     ]
     short = [i for i, words in enumerate(texts) if len(words) <= CHAIN_TOKENS]
-    # Clean texts beyond twice the toxic ones teach the chain little.
-    clean = [i for i in short if not toxic[i]][: 2 * int(toxic.sum())]
+    # More clean texts than toxic ones teach the chain little.
+    clean = [i for i in short if not toxic[i]][: int(toxic.sum())]
     chosen = [i for i in short if toxic[i]] + clean
     weights, bias, steps = _fit_chain([texts[i] for i in chosen], [sure[i] for i in chosen], lexicon)
     tagger = Tagger(weights, bias, steps)
