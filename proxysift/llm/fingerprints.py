@@ -19,13 +19,14 @@ from pyspark.sql.window import Window
 
 from proxysift.llm.common import ascii_lower
 
-SAMPLES = 40
+SAMPLES = 32
 # Samples computed in one row; more make methods that the JVM does not compile.
 CHUNK = 4
+MOST_CHUNKS = 32
 MOST_BUCKETS = 1024
 
 _ID_BITS = 31
-_PLACE_BITS = 42
+_PLACE_BITS = 42  # of the key of a text, besides which a chunk and up to 1024 buckets fit
 _LOW = 2**32 - 1
 _NO_ID = -(1 << 63)
 
@@ -60,19 +61,18 @@ def _uniform(bits: Column, size: int) -> Column:
     return (bits.cast("double") + 0.5) * (0.5**size)
 
 
-def least_samples(terms: DataFrame, key: str, carried: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``key, chunk, carried, s0 ..`` from rows of ``key, carried, term, weight``: samples by text.
+def least_samples(terms: DataFrame, samples: int = SAMPLES) -> DataFrame:
+    """``key, s0 ..`` from rows of ``key, term, weight``: the samples of each text, in chunks.
 
-    A sample's value and the id of its (term, t) are packed in one number, the value above,
-    so that its minimum is a plain number that is combined before the shuffle. What is
-    ``carried`` depends on the key and goes with its first chunk alone.
+    The key of a chunk is the text's key times ``MOST_CHUNKS`` plus the chunk, one number,
+    which is what an aggregation is fastest on. A sample's value and the id of its (term, t)
+    are packed in one number, the value above, so that its minimum is a plain number that is
+    combined before the shuffle.
     """
-    keys = [key, *carried]
     rows = terms.select(
-        *keys, "term", F.ln(F.col("weight").cast("double")).alias("log_weight"),
+        "key", "term", F.ln(F.col("weight").cast("double")).alias("log_weight"),
         F.explode(F.sequence(F.lit(0), F.lit(samples // CHUNK - 1))).alias("chunk"),
     )
-    rows = rows.withColumns({name: F.when(F.col("chunk") == 0, F.col(name)) for name in carried})
     seed = F.col("chunk") * (2 * CHUNK)
     rows = rows.select("*", *[F.xxhash64("term", seed + k).alias(f"h{k}") for k in range(2 * CHUNK)])
     numbers = []
@@ -85,7 +85,7 @@ def least_samples(terms: DataFrame, key: str, carried: list[str], samples: int =
         )
         b = _uniform(second.bitwiseAND(F.lit(2**16 - 1)), 16)
         numbers += [r.alias(f"r{j}"), F.ln(c).alias(f"c{j}"), b.alias(f"b{j}")]
-    rows = rows.select(*keys, "chunk", "term", "log_weight", *numbers)
+    rows = rows.select("key", "chunk", "term", "log_weight", *numbers)
     steps = [F.floor(F.col("log_weight") / F.col(f"r{j}") + F.col(f"b{j}")).alias(f"t{j}") for j in range(CHUNK)]
     rows = rows.select("*", *steps)
     packed = []
@@ -94,8 +94,8 @@ def least_samples(terms: DataFrame, key: str, carried: list[str], samples: int =
         value = F.floor((c - r * (t.cast("double") - b + 1.0) + 128.0) * float(2**24))
         name = F.shiftrightunsigned(F.xxhash64("term", t), 64 - _ID_BITS)
         packed.append(F.shiftleft(value, _ID_BITS).bitwiseOR(name).alias(f"s{j}"))
-    rows = rows.select(*keys, "chunk", *packed)
-    return rows.groupBy(*keys, "chunk").agg(*[F.min(f"s{j}").alias(f"s{j}") for j in range(CHUNK)])
+    rows = rows.select((F.col("key") * MOST_CHUNKS + F.col("chunk")).alias("key"), *packed)
+    return rows.groupBy("key").agg(*[F.min(f"s{j}").alias(f"s{j}") for j in range(CHUNK)])
 
 
 def fingerprint_text(chunks: Column) -> Column:
@@ -161,21 +161,23 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
         F.struct(F.lit(0).alias("version"), F.col("text").alias("text")),
         F.struct(F.lit(1).alias("version"), edited.alias("text")),
     ))
-    facts = ["doc_id", "n_chars", "guest", "edited_sha256"]
-    texts = rows.select(
-        "bucket", "place", "doc_id", n.alias("n_chars"), "guest", F.sha2(edited.cast("binary"), 256).alias("edited_sha256"),
-        versions.alias("v"),
-    )
-    key = F.shiftleft(F.col("bucket").cast("bigint"), _PLACE_BITS) + F.col("place") * 2 + F.col("v.version")
-    terms = texts.select(
-        key.alias("key"), *facts, F.explode_outer(weighted_terms(F.col("v.text"))).alias("t"),
-    ).select("key", *facts, F.col("t.term").alias("term"), F.col("t.weight").alias("weight"))
-    sampled = least_samples(terms, "key", facts, samples)
+    key = F.shiftleft(F.col("bucket").cast("bigint"), _PLACE_BITS) + F.col("place") * 2
+    terms = rows.select(key.alias("key"), versions.alias("v")).select(
+        (F.col("key") + F.col("v.version")).alias("key"), F.explode(weighted_terms(F.col("v.text"))).alias("t")
+    ).select("key", F.col("t.term").alias("term"), F.col("t.weight").alias("weight"))
     names = F.array(*[F.col(f"s{j}").bitwiseAND(F.lit(2**_ID_BITS - 1)) for j in range(CHUNK)])
-    chunks = F.collect_list(F.when(F.col("s0").isNotNull(), F.struct("chunk", names.alias("samples"))))
-    prints = sampled.groupBy("key").agg(
-        fingerprint_text(chunks).alias("print"), *[F.max(name).alias(name) for name in facts]
-    ).withColumn("bucket", F.shiftright("key", _PLACE_BITS))
+    chunk = F.struct((F.col("key") % MOST_CHUNKS).alias("chunk"), names.alias("samples"))
+    prints = least_samples(terms, samples).groupBy(F.expr(f"key div {MOST_CHUNKS}").alias("key")).agg(
+        fingerprint_text(F.collect_list(chunk)).alias("print")
+    )
+    # The rows themselves come from the same shuffle as the terms; a text without words has no print.
+    itself = rows.select(
+        key.alias("key"), "guest", "doc_id", n.alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256")
+    )
+    both = itself.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("version")).withColumn("key", F.col("key") + F.col("version"))
+    prints = both.join(prints, "key", "left").withColumns(
+        {"print": F.coalesce("print", F.lit("")), "bucket": F.shiftright("key", _PLACE_BITS)}
+    )
     order = Window.partitionBy("bucket").orderBy("key")
     lined = prints.select(
         "*", F.lead("print", 1).over(order).alias("edited_print"), F.lead("print", 2).over(order).alias("next_print")
