@@ -1,8 +1,11 @@
 """Remove passages that repeat: hashed runs of consecutive sentences.
 
-From every sentence a run is read on until it has several sentences and enough words, or is
-long anyway. Runs are hashed and joined over the whole corpus; of equal runs the first, by
-doc_id and place, stays, and the sentences that any other covers are removed.
+A run is full if it has several sentences and enough words, or is long anyway. From every
+sentence the shortest full run that begins there and the shortest that ends there are hashed
+and joined over the whole corpus; of equal runs the first, by doc_id and place, stays, and the
+sentences that any other covers are removed. These runs cover what all full runs would: of a
+repeated passage that is full, a sentence from which no full run is left inside the passage
+lies in the shortest one that ends with the passage.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 from proxysift.llm.common import row_hash
 from proxysift.session import durable
 
-# A run ends where it has this many sentences and words, or this many words at all.
+# A run is full with this many sentences and words, or with this many words at all.
 RUN_SENTENCES = 3
 RUN_WORDS = 15
 LONG_RUN_WORDS = 40
@@ -45,23 +48,36 @@ def sentence_bounds(text: str) -> list[tuple[int, int]]:
 def sentence_runs(
     text: str, sentences: int = RUN_SENTENCES, words: int = RUN_WORDS, long_words: int = LONG_RUN_WORDS
 ) -> list[tuple[int, int, int]]:
-    """``hash, first sentence, sentence after the last`` of the run from each sentence on.
+    """``hash, first sentence, sentence after the last`` of the shortest full runs, in order.
 
-    Case and white space do not count. Sentences from which no full run starts have none.
+    Case and white space do not count. A run that is the shortest both from its first sentence
+    on and up to its last one is given once.
     """
     tokens = [text[start:stop].lower().split() for start, stop in sentence_bounds(text)]
     sizes, plain = [len(t) for t in tokens], [" ".join(t) for t in tokens]
-    runs, stop, total = [], 0, 0
+    found: set[tuple[int, int]] = set()
+
+    def full(n: int, total: int) -> bool:
+        return total >= long_words or (n >= sentences and total >= words)
+
+    stop, total = 0, 0
     for start in range(len(tokens)):
-        if start:
-            total -= sizes[start - 1]
-        while not (total >= long_words or (stop - start >= sentences and total >= words)):
-            if stop == len(tokens):
-                return runs
+        while stop < len(tokens) and not full(stop - start, total):
             total += sizes[stop]
             stop += 1
-        runs.append((xxhash.xxh3_64_intdigest("\n".join(plain[start:stop])), start, stop))
-    return runs
+        if not full(stop - start, total):
+            break
+        found.add((start, stop))
+        total -= sizes[start]
+    start, total = 0, 0
+    for stop in range(1, len(tokens) + 1):
+        total += sizes[stop - 1]
+        while start < stop - 1 and full(stop - start - 1, total - sizes[start]):
+            total -= sizes[start]
+            start += 1
+        if full(stop - start, total):
+            found.add((start, stop))
+    return [(xxhash.xxh3_64_intdigest("\n".join(plain[a:b])), a, b) for a, b in sorted(found)]
 
 
 def _signed(values: list[int]) -> np.ndarray:
@@ -114,7 +130,7 @@ def repeated_spans(
     place = F.struct("id", "mark", "start")
     repeated = runs.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last")
     later = runs.join(repeated.select("hash", "first"), "hash").where(place != F.col("first"))
-    # A document has at most one run per sentence.
+    # A document has at most two runs per sentence.
     return later.groupBy("id", "mark").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
