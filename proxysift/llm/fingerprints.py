@@ -7,7 +7,8 @@ c * exp(-r * (t - b + 1)), and the sample is the (term, t) with the least value.
 have the same sample with a probability equal to their generalised Jaccard similarity,
 sum of min weights / sum of max weights, so the share of equal samples estimates it.
 
-All of it is DataFrame expressions. The values of a text's terms are reduced to its least
+All of it is DataFrame expressions. The random numbers of a term are drawn once for a text and
+its edited version together, which share most of their terms. The values of a text's terms are reduced to its least
 ones where the text is read; what is shuffled are a few numbers per text.
 """
 
@@ -19,7 +20,7 @@ from pyspark.sql.window import Window
 
 from proxysift.llm.common import ascii_lower
 
-SAMPLES = 32
+SAMPLES = 64
 # Samples computed in one row; more make methods that the JVM does not compile.
 CHUNK = 4
 MOST_CHUNKS = 32
@@ -31,10 +32,18 @@ _LOW = 2**32 - 1
 _NO_ID = -(1 << 63)
 
 
-def weighted_terms(text: Column) -> Column:
-    """``term`` (hash), ``weight`` of the distinct words of a text."""
-    words = F.split(ascii_lower(text), r"[\x20\x09-\x0D]+")
-    hashes = F.sort_array(F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w)))
+def weighted_terms(text: Column, edited: Column) -> Column:
+    """``term`` (hash), ``weight``, ``edited_weight`` of the distinct words of two texts together.
+
+    The lowest bit of a hash tells the text while both are sorted, and is no part of the term.
+    """
+    clear = F.lit(-2).cast("bigint")
+
+    def hashed(value: Column, version: int) -> Column:
+        words = F.filter(F.split(ascii_lower(value), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+        return F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(clear).bitwiseOR(F.lit(version).cast("bigint")))
+
+    hashes = F.sort_array(F.concat(hashed(text, 0), hashed(edited, 1)))
 
     def runs(sorted_hashes: Column) -> Column:
         starts = F.filter(
@@ -50,10 +59,24 @@ def weighted_terms(text: Column) -> Column:
             (F.coalesce(F.get(found["starts"], k + 1), n) - at).alias("weight"),
         ))
 
+    def paired(found: Column) -> Column:
+        def one(entry: Column, k: Column) -> Column:
+            term = entry["term"].bitwiseAND(clear)
+            before, after = F.get(found, k - 1), F.get(found, k + 1)
+            of_edited = F.when(after["term"].bitwiseAND(clear) == term, after["weight"])
+            first = F.struct(
+                term.alias("term"), entry["weight"].alias("weight"), F.coalesce(of_edited, F.lit(0)).alias("edited_weight")
+            )
+            only_edited = F.struct(term.alias("term"), F.lit(0).alias("weight"), entry["weight"].alias("edited_weight"))
+            alone = (k == 0) | (before["term"].bitwiseAND(clear) != term)
+            return F.when(entry["term"] == term, first).when(alone, only_edited)
+
+        return F.filter(F.transform(found, one), lambda x: x.isNotNull())
+
     # One-element arrays bind what is used many times to a name.
     bound = F.filter(F.transform(F.array(hashes), lambda h: F.when(F.size(h) > 0, runs(h))), lambda x: x.isNotNull())
-    none = F.array().cast("array<struct<term:bigint,weight:int>>")
-    return F.coalesce(F.get(F.transform(bound, entries), F.lit(0)), none)
+    none = F.array().cast("array<struct<term:bigint,weight:int,edited_weight:int>>")
+    return F.coalesce(F.get(F.transform(F.transform(bound, entries), paired), F.lit(0)), none)
 
 
 def _uniform(bits: Column, size: int) -> Column:
@@ -62,15 +85,17 @@ def _uniform(bits: Column, size: int) -> Column:
 
 
 def least_samples(terms: DataFrame, samples: int = SAMPLES) -> DataFrame:
-    """``key, s0 ..`` from rows of ``key, term, weight``: the samples of each text, in chunks.
+    """``key, s0 .., e0 ..`` from rows of ``key, term, weight, edited_weight``: the samples of each
+    text and of its edited version, in chunks.
 
     The key of a chunk is the text's key times ``MOST_CHUNKS`` plus the chunk, one number,
     which is what an aggregation is fastest on. A sample's value and the id of its (term, t)
     are packed in one number, the value above, so that its minimum is a plain number that is
-    combined before the shuffle.
+    combined before the shuffle. A term that one version lacks has a null logarithm there, so
+    null values, which a minimum passes over.
     """
     rows = terms.select(
-        "key", "term", F.ln(F.col("weight").cast("double")).alias("log_weight"),
+        "key", "term", F.ln(F.col("weight").cast("double")).alias("log_s"), F.ln(F.col("edited_weight").cast("double")).alias("log_e"),
         F.explode(F.sequence(F.lit(0), F.lit(samples // CHUNK - 1))).alias("chunk"),
     )
     seed = F.col("chunk") * (2 * CHUNK)
@@ -85,22 +110,25 @@ def least_samples(terms: DataFrame, samples: int = SAMPLES) -> DataFrame:
         )
         b = _uniform(second.bitwiseAND(F.lit(2**16 - 1)), 16)
         numbers += [r.alias(f"r{j}"), F.ln(c).alias(f"c{j}"), b.alias(f"b{j}")]
-    rows = rows.select("key", "chunk", "term", "log_weight", *numbers)
-    steps = [F.floor(F.col("log_weight") / F.col(f"r{j}") + F.col(f"b{j}")).alias(f"t{j}") for j in range(CHUNK)]
-    rows = rows.select("*", *steps)
+    rows = rows.select("key", "chunk", "term", "log_s", "log_e", *numbers)
+    names = [(version, j) for version in "se" for j in range(CHUNK)]
+    rows = rows.select("*", *[
+        F.floor(F.col(f"log_{v}") / F.col(f"r{j}") + F.col(f"b{j}")).alias(f"t{v}{j}") for v, j in names
+    ])
     packed = []
-    for j in range(CHUNK):
-        r, c, b, t = (F.col(f"{x}{j}") for x in "rcbt")
+    for v, j in names:
+        r, c, b, t = F.col(f"r{j}"), F.col(f"c{j}"), F.col(f"b{j}"), F.col(f"t{v}{j}")
         value = F.floor((c - r * (t.cast("double") - b + 1.0) + 128.0) * float(2**24))
         name = F.shiftrightunsigned(F.xxhash64("term", t), 64 - _ID_BITS)
-        packed.append(F.shiftleft(value, _ID_BITS).bitwiseOR(name).alias(f"s{j}"))
+        packed.append(F.shiftleft(value, _ID_BITS).bitwiseOR(name).alias(f"{v}{j}"))
     rows = rows.select((F.col("key") * MOST_CHUNKS + F.col("chunk")).alias("key"), *packed)
-    return rows.groupBy("key").agg(*[F.min(f"s{j}").alias(f"s{j}") for j in range(CHUNK)])
+    return rows.groupBy("key").agg(*[F.min(f"{v}{j}").alias(f"{v}{j}") for v, j in names])
 
 
 def fingerprint_text(chunks: Column) -> Column:
-    """Hexadecimal text of the samples of one document, 8 digits each, in order."""
+    """Hexadecimal text of the samples of one document, 8 digits each, in order; without any, empty."""
     samples = F.flatten(F.transform(F.sort_array(chunks), lambda c: c["samples"]))
+    samples = F.filter(samples, lambda s: s.isNotNull())
     return F.array_join(F.transform(samples, lambda s: F.lpad(F.lower(F.hex(s)), 8, "0")), "")
 
 
@@ -157,31 +185,27 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.expr("left(text, char_length(text) - int(floor(char_length(text) / 3)))"),
                       F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), third))
-    versions = F.explode(F.array(
-        F.struct(F.lit(0).alias("version"), F.col("text").alias("text")),
-        F.struct(F.lit(1).alias("version"), edited.alias("text")),
-    ))
-    key = F.shiftleft(F.col("bucket").cast("bigint"), _PLACE_BITS) + F.col("place") * 2
-    terms = rows.select(key.alias("key"), versions.alias("v")).select(
-        (F.col("key") + F.col("v.version")).alias("key"), F.explode(weighted_terms(F.col("v.text"))).alias("t")
-    ).select("key", F.col("t.term").alias("term"), F.col("t.weight").alias("weight"))
-    names = F.array(*[F.col(f"s{j}").bitwiseAND(F.lit(2**_ID_BITS - 1)) for j in range(CHUNK)])
-    chunk = F.struct((F.col("key") % MOST_CHUNKS).alias("chunk"), names.alias("samples"))
+    key = F.shiftleft(F.col("bucket").cast("bigint"), _PLACE_BITS) + F.col("place")
+    terms = rows.select(key.alias("key"), F.explode(weighted_terms(F.col("text"), edited)).alias("t")).select("key", "t.*")
+    low = F.lit(2**_ID_BITS - 1)
+
+    def chunked(version: str) -> Column:
+        samples = F.array(*[F.col(f"{version}{j}").bitwiseAND(low) for j in range(CHUNK)])
+        return fingerprint_text(F.collect_list(F.struct((F.col("key") % MOST_CHUNKS).alias("chunk"), samples.alias("samples"))))
+
     prints = least_samples(terms, samples).groupBy(F.expr(f"key div {MOST_CHUNKS}").alias("key")).agg(
-        fingerprint_text(F.collect_list(chunk)).alias("print")
+        chunked("s").alias("print"), chunked("e").alias("edited_print")
     )
     # The rows themselves come from the same shuffle as the terms; a text without words has no print.
     itself = rows.select(
         key.alias("key"), "guest", "doc_id", n.alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256")
     )
-    both = itself.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("version")).withColumn("key", F.col("key") + F.col("version"))
-    prints = both.join(prints, "key", "left").withColumns(
-        {"print": F.coalesce("print", F.lit("")), "bucket": F.shiftright("key", _PLACE_BITS)}
-    )
+    prints = itself.join(prints, "key", "left").withColumns({
+        "print": F.coalesce("print", F.lit("")), "edited_print": F.coalesce("edited_print", F.lit("")),
+        "bucket": F.shiftright("key", _PLACE_BITS),
+    })
     order = Window.partitionBy("bucket").orderBy("key")
-    lined = prints.select(
-        "*", F.lead("print", 1).over(order).alias("edited_print"), F.lead("print", 2).over(order).alias("next_print")
-    ).where("key % 2 = 0 AND guest = 0")
+    lined = prints.select("*", F.lead("print").over(order).alias("next_print")).where("guest = 0")
     return lined.select(
         "doc_id", "n_chars", "edited_sha256", F.col("print").alias("fingerprint"),
         F.col("edited_print").alias("edited_fingerprint"),

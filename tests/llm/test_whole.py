@@ -2,7 +2,8 @@
 
 import numpy as np
 
-from proxysift.llm import span_dedup
+from proxysift.llm import fingerprints, span_dedup
+from proxysift.llm.queries import QUERIES
 
 
 def _full(run):
@@ -48,3 +49,22 @@ def test_whole_passages_are_removed(spark):
         assert (rows[i].text, rows[i].n_removed) == (" ".join(kept), gone)
     for i, passage in enumerate(passages):
         assert rows[len(passages) + i].n_removed == (len(passage) if _full(passage) else 0)
+
+
+def test_fingerprints_have_64_samples(spark):
+    """Also: an edited text has the fingerprint that the same text has as a document."""
+    rows = QUERIES["op1_fingerprints"](spark, "/root/testdata/sf0.001").collect()
+    assert {len(r.fingerprint) for r in rows} <= {0, 64 * 8} and len(rows) == 200
+    texts = {1: "a b b c c c " * 9 + "d e", 2: "", 3: "c a zz " * 5, 4: "q", 5: "    x"}
+    order = sorted(texts, reverse=True)
+    edited = {}
+    for doc, after in zip(order, order[1:] + order[:1], strict=True):
+        third = len(texts[doc]) // 3
+        edited[doc] = texts[doc][: len(texts[doc]) - third] + texts[after][:third]
+
+    def prints(given):
+        return {r.doc_id: r for r in fingerprints.fingerprints(spark.createDataFrame(list(given.items()), "doc_id bigint, text string")).collect()}
+
+    first, second = prints(texts), prints(edited)
+    assert {d: r.edited_fingerprint for d, r in first.items()} == {d: r.fingerprint for d, r in second.items()}
+    assert first[2].fingerprint == "" and all(len(first[d].fingerprint) == 512 for d in (1, 3, 4, 5))
