@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 
 SAMPLE_TOXIC = 1000
 SAMPLE_CLEAN = 3000
-# The chain is fitted on sampled texts of at most this many tokens.
+# The chain reads sampled texts in pieces of at most this many tokens.
 CHAIN_TOKENS = 1500
-CHAIN_STEPS = 40
+CHAIN_STEPS = 60
 
 PREFIXES = (4, 5)
 LEAST_SUPPORT = 4
@@ -244,11 +244,10 @@ def fit(rows: Iterable[tuple[str | None, int]]) -> Tagger:
         np.array([float(label == 1 and any(f in lexicon for f in _features(w))) for w in words])
         for words, label in zip(texts, toxic, strict=True)
     ]
-    short = [i for i, words in enumerate(texts) if len(words) <= CHAIN_TOKENS]
-    # More clean texts than toxic ones teach the chain little.
-    clean = [i for i in short if not toxic[i]][: int(toxic.sum())]
-    chosen = [i for i in short if toxic[i]] + clean
-    weights, bias, steps = _fit_chain([texts[i] for i in chosen], [sure[i] for i in chosen], lexicon)
+    pieces = [(i, at) for i, words in enumerate(texts) for at in range(0, len(words), CHAIN_TOKENS)]
+    weights, bias, steps = _fit_chain(
+        [texts[i][at : at + CHAIN_TOKENS] for i, at in pieces], [sure[i][at : at + CHAIN_TOKENS] for i, at in pieces], lexicon
+    )
     tagger = Tagger(weights, bias, steps)
     known = [np.array([tagger.emission(w) for w in words]) for words in texts]
     x = np.array([_summary(p) for p in marginals(known, steps)])

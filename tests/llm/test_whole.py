@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from proxysift.llm import fingerprints, span_dedup
+from proxysift.llm import fingerprints, span_dedup, toxicity
 from proxysift.llm.queries import QUERIES
 
 
@@ -68,3 +68,22 @@ def test_fingerprints_have_64_samples(spark):
     first, second = prints(texts), prints(edited)
     assert {d: r.edited_fingerprint for d, r in first.items()} == {d: r.fingerprint for d, r in second.items()}
     assert first[2].fingerprint == "" and all(len(first[d].fingerprint) == 512 for d in (1, 3, 4, 5))
+
+
+def test_chain_learns_from_every_token_of_the_sample(monkeypatch):
+    """Long toxic texts, more clean texts than toxic ones, scripts that sort last."""
+    rows = [(" ".join(f"you idiot u{i}n{k}" for k in range(700)), 1) for i in range(12)]
+    rows += [(f"fine{i} day{i} there{i}", 0) for i in range(40)] + [(f"хороший{i} день{i} вам{i}", 0) for i in range(40)]
+    seen = []
+    fit_chain = toxicity._fit_chain
+
+    def watched(texts, labels, lexicon):
+        seen.extend(zip(texts, labels, strict=True))
+        return fit_chain(texts, labels, lexicon)
+
+    monkeypatch.setattr(toxicity, "_fit_chain", watched)
+    tagger = toxicity.fit(rows)
+    assert sorted(w for words, _ in seen for w in words) == sorted(w for text, _ in rows for w in toxicity.tokens(text))
+    assert all(0 < len(words) == len(label) <= toxicity.CHAIN_TOKENS for words, label in seen)
+    assert sum(label.sum() for _, label in seen) >= 12 * 700
+    assert tagger.emission("idiot") > 0 > tagger.emission("хороший1")
