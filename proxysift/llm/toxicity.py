@@ -263,7 +263,8 @@ def train(
 
     ``labels`` has ``doc_id, toxic``; of several labels of a document the largest counts, a
     null label or id does not. The sample is drawn from ids alone and is at most
-    ``toxic + clean`` rows, which are broadcast to fetch their texts in one scan.
+    ``toxic + clean`` rows, which are broadcast to fetch their texts in one scan. Where a
+    sampled id has several texts, the one with the least hash stands for it.
     """
     usable = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -273,7 +274,11 @@ def train(
         for label, size in ((1, toxic), (0, clean))
     ]
     sample = docs.select("doc_id", "text").join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
-    return fit((row.text, row.toxic) for row in sample.select("text", "toxic").toLocalIterator())
+    # Combined in the scan's tasks: at most one text per sampled id is shuffled by each.
+    chosen = sample.groupBy("doc_id").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("toxic").alias("toxic")
+    )
+    return fit((row.text, row.toxic) for row in chosen.select("text", "toxic").toLocalIterator())
 
 
 _SCORED = "id string, score double, n_toxic int, offsets array<struct<start:int,stop:int>>"

@@ -87,3 +87,15 @@ def test_chain_learns_from_every_token_of_the_sample(monkeypatch):
     assert all(0 < len(words) == len(label) <= toxicity.CHAIN_TOKENS for words, label in seen)
     assert sum(label.sum() for _, label in seen) >= 12 * 700
     assert tagger.emission("idiot") > 0 > tagger.emission("хороший1")
+
+
+def test_one_text_per_sampled_id_reaches_the_driver(spark, monkeypatch):
+    rows = [(1, f"copy {i} of many") for i in range(300)] + [(2, "a single text"), (3, None), (4, "not labelled")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id bigint, toxic int")
+    found = []
+    monkeypatch.setattr(toxicity, "fit", lambda given: found.append(sorted(given, key=str)))
+    toxicity.train(docs, labels)
+    toxicity.train(docs.repartition(3), labels)
+    assert len(found[0]) == 3 and found[0] == found[1]
+    assert {(text, toxic) for text, toxic in found[0] if toxic == 0} == {("a single text", 0), (None, 0)}
