@@ -68,4 +68,60 @@ lines AS (SELECT m.conv_id, m.turn, c.status, '{"content":' || CAST(to_json(m.te
 SELECT conv_id, count(*) AS n_messages, count(status) AS n_calls, count(*) FILTER (status = 'ok') AS n_ok,
   '{"messages":[' || string_agg(line, ',' ORDER BY turn, line) || ']}' AS chat
 FROM lines GROUP BY conv_id""",
+    "op11_conversation_repair": r"""
+WITH RECURSIVE c AS (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+-- The checksum bit by bit: a byte is mixed in, then eight shifts.
+f AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce([4294967295] || flatten(list_transform(
+    string_split(key, ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295) % 20 AS fault FROM c),
+m AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy FROM f WHERE fault <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again FROM m),
+r AS MATERIALIZED (SELECT conv_id, turn, role, text, i, substr(role, 1, 1) AS letter,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again THEN 'duplicate'
+         WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM o),
+-- States: 0 nothing yet, 1 after system, 2 after user, 3 after assistant.
+ins(q, letters, p) AS (VALUES (0, '', 0), (0, 'I', 2), (0, 'II', 3), (1, '', 1), (1, 'I', 2), (1, 'II', 3), (2, '', 2), (2, 'I', 3), (3, '', 3), (3, 'I', 2)),
+edit(p, letter, e, price, t) AS (VALUES (0, 's', 'K', 0, 1), (0, 'u', 'K', 0, 2), (1, 'u', 'K', 0, 2), (3, 'u', 'K', 0, 2), (2, 'a', 'K', 0, 3),
+    (0, NULL, 'R', 2, 2), (1, NULL, 'R', 2, 2), (3, NULL, 'R', 2, 2), (2, NULL, 'R', 2, 3),
+    (0, NULL, 'D', 3, 0), (1, NULL, 'D', 3, 1), (2, NULL, 'D', 3, 2), (3, NULL, 'D', 3, 3)),
+dp AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, 0 AS q, {'cost': CAST(0 AS BIGINT), 'audit': ''} AS best FROM r
+  UNION ALL SELECT r.conv_id, r.i, edit.t AS q,
+    min({'cost': CAST(best.cost + 2 * length(letters) + price + CASE WHEN fault = 'truncated' AND e <> 'D' THEN 1 ELSE 0 END AS BIGINT), 'audit': best.audit || letters || e}) AS best
+  FROM dp JOIN r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.i = dp.i + 1 JOIN ins ON ins.q = dp.q JOIN edit ON edit.p = ins.p
+  WHERE (edit.letter IS NULL OR edit.letter = r.letter) AND (e = 'D' OR fault NOT IN ('blank', 'duplicate')) GROUP BY r.conv_id, r.i, edit.t),
+sizes AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated FROM r GROUP BY conv_id),
+pairs AS (SELECT conv_id, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT conv_id, lag(letter) OVER (PARTITION BY conv_id ORDER BY i) || letter AS pair FROM r) GROUP BY conv_id),
+done AS (SELECT dp.conv_id, gaps, blank, duplicate, truncated,
+    min({'cost': best.cost + CASE q WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 0 END, 'audit': best.audit || CASE q WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END}) AS best
+  FROM dp JOIN sizes ON sizes.conv_id IS NOT DISTINCT FROM dp.conv_id AND dp.i = n GROUP BY ALL),
+letters AS (SELECT conv_id, unnest(string_split(best.audit, '')) AS e, generate_subscripts(string_split(best.audit, ''), 1) AS spot FROM done),
+counted AS (SELECT *, count(*) FILTER (e <> 'I') OVER w AS i, count(*) FILTER (e <> 'D') OVER w AS k FROM letters WHERE e <> '' WINDOW w AS (PARTITION BY conv_id ORDER BY spot)),
+kept AS (SELECT counted.*, r.role, r.text, max(CASE WHEN k = 1 AND e = 'K' AND letter = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY counted.conv_id) AS s
+  FROM counted LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM counted.conv_id AND r.i = counted.i AND e <> 'I' WHERE e <> 'D'),
+lines AS (SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (k - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY spot) AS repaired
+  FROM kept GROUP BY conv_id)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN pairs ON pairs.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN lines ON lines.conv_id IS NOT DISTINCT FROM a.conv_id""",
+    "op12_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w,
+    sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+n AS (SELECT doc_id, text, w, CAST(len(w) AS BIGINT) AS n, list_transform([1, 9, 17, 25], lambda k: CAST('0x' || substr(h, k, 8) AS BIGINT)) AS h FROM d),
+c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 50 THEN 'plain'
+         WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM n),
+p AS (SELECT *, array_to_string(w[1:a], '') AS pre, array_to_string(w[a + 1:b], '') AS mid, array_to_string(w[b + 1:n], '') AS suf FROM c),
+o AS (SELECT *, CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END AS output FROM p)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(output) AS output_sha256, sha256(CASE WHEN form = 'plain' THEN output ELSE
+    split_part(split_part(output, '<P>', 2), CASE form WHEN 'psm' THEN '<S>' ELSE '<M>' END, 1) || split_part(output, '<M>', 2)
+    || split_part(split_part(output, '<S>', 2), CASE form WHEN 'psm' THEN '<M>' ELSE '<P>' END, 1) END) AS restored_sha256
+FROM o""",
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proxysift.llm import decontamination, fingerprints, lm_scoring, mixing, ngram_join, span_dedup, tool_calls, toxicity, url_filter, warc
+from proxysift.llm import (
+    decontamination,
+    fill_in_middle,
+    fingerprints,
+    lm_scoring,
+    mixing,
+    ngram_join,
+    private_data,
+    span_dedup,
+    tool_calls,
+    toxicity,
+    turn_repair,
+    url_filter,
+    warc,
+)
 from proxysift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +135,19 @@ def tool_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     schemas = spark.createDataFrame(TOOLS, "name string, field string, type string, required boolean")
     return tool_calls.format_chats(tool_messages(spark, sf_dir), schemas)
+
+
+@_query("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repaired_after_damage(table(spark, sf_dir, "conversations"))
+
+
+@_query("op12_fill_in_middle")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    examples = fill_in_middle.arranged(table(spark, sf_dir, "documents"), seed=42, rate=50, spm=80)
+    return fill_in_middle.restored(examples.drop("pieces")).drop("output", "restored")
+
+
+@_query("op13_private_data")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.private_spans(table(spark, sf_dir, "documents"))
