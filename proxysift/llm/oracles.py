@@ -46,28 +46,43 @@ k AS (SELECT doc_id, size, source_size, target, u, CASE WHEN source_size > 0 THE
   CAST(row_number() OVER (PARTITION BY d.source ORDER BY size, doc_id) AS DOUBLE) AS n FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, CAST(floor(n * rate + u) - floor((n - 1) * rate + u) AS BIGINT) * size AS taken FROM k""",
     "op7_chat_formatting": """
-WITH m AS (SELECT *, length(text) AS n FROM conversations),
-a AS (SELECT *, CASE WHEN n % 11 = 0 THEN 'none' WHEN n % 2 = 0 THEN 'find' ELSE 'count' END AS tool FROM m WHERE role = 'assistant'),
-v AS (WITH RECURSIVE r(conv_id, turn, level) AS (
-    SELECT conv_id, turn, 0 FROM a
-    UNION SELECT a.conv_id, a.turn, r.level + 1 FROM r JOIN a ON a.conv_id = r.conv_id AND a.turn > 2 AND r.turn IN (a.turn - 1, a.turn - 2))
-  SELECT conv_id, turn, max(level) AS level FROM r GROUP BY ALL),
-c AS (SELECT conv_id, turn,
-  CASE WHEN tool = 'none' THEN 'unknown_tool'
-       WHEN tool = 'find' AND n % 3 <> 0 THEN 'bad_arguments'
-       WHEN n % 7 = 0 THEN 'no_result' ELSE 'ok' END AS status,
-  CASE WHEN n % 2 = 0 THEN '{' || CASE n % 3 WHEN 0 THEN '"exact":true,' WHEN 1 THEN '"exact":"yes",' ELSE '' END || '"letters":' || n || '}'
-       ELSE '{"letters":' || n || CASE WHEN n % 3 = 0 THEN ',"unit":"letter"' ELSE '' END || '}' END AS args,
-  tool, CASE WHEN n % 7 <> 0 THEN CAST(to_json(left(text, 20)) AS VARCHAR) ELSE 'null' END AS result, level
-  FROM a JOIN v USING (conv_id, turn)),
-lines AS (SELECT m.conv_id, m.turn, c.status, '{"content":' || CAST(to_json(m.text) AS VARCHAR) || ',"role":"' || m.role || '"'
-  || CASE WHEN c.status IS NULL THEN '' ELSE ',"tool_calls":[{"arguments":' || args || ',"id":"c' || m.turn || '","level":' || level
-     || ',"name":"' || tool || '","result":' || result || ',"status":"' || c.status || '"}]' END
-  || ',"turn":' || m.turn || '}' AS line
-  FROM m LEFT JOIN c ON c.conv_id = m.conv_id AND c.turn = m.turn)
-SELECT conv_id, count(*) AS n_messages, count(status) AS n_calls, count(*) FILTER (status = 'ok') AS n_ok,
-  '{"messages":[' || string_agg(line, ',' ORDER BY turn, line) || ']}' AS chat
-FROM lines GROUP BY conv_id""",
+WITH RECURSIVE m AS (SELECT *, length(text) AS n FROM conversations),
+e AS (SELECT conv_id, turn, text, n, n % 3 AS last, unnest(range(0, n % 3 + 1)) AS p FROM m WHERE role = 'assistant'),
+a AS (SELECT *, n + p AS k, NOT (n % 13 = 0 AND p = 1) AS first, conv_id || '/' || turn || '-' || p AS key,
+  'c' || turn || '-' || CASE WHEN n % 13 = 0 AND p = 1 THEN 0 ELSE p END AS id,
+  CASE WHEN (n + p) % 11 = 0 THEN 'none' WHEN (n + p) % 2 = 0 THEN 'find' ELSE 'count' END AS tool,
+  CASE WHEN n % 19 = 0 THEN ['c' || turn || '-' || CASE p WHEN 0 THEN last ELSE p - 1 END]
+       WHEN n % 17 = 0 AND p < last THEN ['c' || turn || '-' || (p + 1)] WHEN n % 17 = 0 THEN []
+       WHEN p > 0 THEN ['c' || turn || '-' || (p - 1), 'c' || turn || '-0']
+       WHEN n % 23 = 0 THEN ['c' || (turn + 2) || '-0'] ELSE ['c' || (turn - 2) || '-0', 'c' || (turn - 1) || '-0'] END AS links FROM e),
+links AS (SELECT DISTINCT a.conv_id, a.id, b.id AS before FROM (SELECT conv_id, id, unnest(links) AS before FROM a WHERE first) a
+  JOIN a b ON b.conv_id = a.conv_id AND b.id = a.before AND b.first),
+sizes AS (SELECT conv_id, count(*) AS calls FROM a WHERE first GROUP BY conv_id),
+-- A chain as long as there are calls has a circle in it.
+v AS (SELECT conv_id, id, 0 AS level FROM a WHERE first
+  UNION SELECT links.conv_id, links.id, v.level + 1 FROM v JOIN links ON links.conv_id = v.conv_id AND links.before = v.id
+    JOIN sizes ON sizes.conv_id = v.conv_id WHERE v.level < calls),
+levels AS (SELECT v.conv_id, id, CASE WHEN max(level) < any_value(calls) THEN max(level) END AS level FROM v JOIN sizes USING (conv_id) GROUP BY v.conv_id, id),
+c AS (SELECT a.*, CASE WHEN first THEN level END AS level,
+  CASE WHEN first AND ((p = 0 AND n % 7 <> 0) OR (p = 1 AND n % 5 <> 0)) THEN CAST(to_json(text) AS VARCHAR) ELSE 'null' END AS result,
+  CASE WHEN NOT first THEN 'repeated' WHEN tool = 'none' THEN 'unknown_tool' WHEN tool = 'find' AND k % 3 <> 0 THEN 'bad_arguments'
+       WHEN level IS NULL THEN 'circular' WHEN NOT ((p = 0 AND n % 7 <> 0) OR (p = 1 AND n % 5 <> 0)) THEN 'no_result' ELSE 'ok' END AS status,
+  CASE WHEN k % 2 = 0 THEN '{' || CASE k % 3 WHEN 0 THEN '"exact":true,' WHEN 1 THEN '"exact":"yes",' ELSE '' END || '"letters":' || k || '}'
+       ELSE '{"letters":' || k || CASE WHEN k % 3 = 0 THEN ',"unit":"letter"' ELSE '' END || '}' END AS args
+  FROM a LEFT JOIN levels ON levels.conv_id = a.conv_id AND levels.id = a.id),
+made AS (SELECT conv_id, turn, count(*) AS n_calls, count(*) FILTER (status = 'ok') AS n_ok,
+  string_agg('{"arguments":' || args || ',"id":"' || id || '","level":' || coalesce(CAST(level AS VARCHAR), 'null') || ',"name":"' || tool
+    || '","result":' || result || ',"status":"' || status || '"}', ',' ORDER BY level NULLS LAST, p) AS calls FROM c GROUP BY conv_id, turn),
+-- A result of a second call is lost where the id of that call is given to the first.
+lost AS (SELECT conv_id, count(DISTINCT id) AS n_lost FROM (
+    SELECT conv_id, 'lost' || turn AS id FROM m WHERE role = 'assistant' AND n % 29 = 0
+    UNION ALL SELECT conv_id, 'c' || turn || '-1' FROM m WHERE role = 'assistant' AND n % 5 <> 0 AND n % 3 > 0 AND n % 13 = 0) GROUP BY conv_id),
+lines AS (SELECT m.conv_id, m.turn, n_calls, n_ok, '{"content":' || CAST(to_json(m.text) AS VARCHAR) || ',"role":"' || m.role || '"'
+  || coalesce(',"tool_calls":[' || calls || ']', '') || ',"turn":' || m.turn || '}' AS line
+  FROM m LEFT JOIN made ON made.conv_id = m.conv_id AND made.turn = m.turn)
+SELECT conv_id, count(*) AS n_messages, CAST(coalesce(sum(n_calls), 0) AS BIGINT) AS n_calls, CAST(coalesce(sum(n_ok), 0) AS BIGINT) AS n_ok,
+  coalesce(any_value(n_lost), 0) AS n_lost, '{"messages":[' || string_agg(line, ',' ORDER BY turn, line) || ']}' AS chat
+FROM lines LEFT JOIN lost USING (conv_id) GROUP BY conv_id""",
     "op11_conversation_repair": r"""
 WITH RECURSIVE c AS (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
 -- The checksum bit by bit: a byte is mixed in, then eight shifts.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proxysift.llm import (
@@ -104,29 +104,49 @@ TOOLS = [
 
 
 def tool_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The conversations with a tool call in each turn of the assistant, and its result.
+    """The conversations with one to three tool calls in each turn of the assistant, and results.
 
     The given table has no calls, so they are derived from turn and length: the tool, its
-    arguments (some lack one, some have a wrong type or no tool), what comes before, and
-    whether there is a result.
+    arguments (some lack one, some have a wrong type or no tool), some ids that occur twice,
+    what comes before (calls of the same and of earlier turns, some of later ones, some in a
+    circle), and whether there is a result. A result is the whole text of the turn; some
+    results belong to no call.
     """
-    rows = table(spark, sf_dir, "conversations")
-    n = F.char_length("text")
-    name = F.when(n % 11 == 0, "none").when(n % 2 == 0, "find").otherwise("count")
-    exact = F.when(n % 3 == 0, ', "exact": true').when(n % 3 == 1, ', "exact": "yes"').otherwise("")
-    unit = F.when(n % 3 == 0, '"unit": "letter", ').otherwise("")
-    arguments = F.when(
-        n % 2 == 0, F.format_string('{ "letters": %d%s }', n, exact)
-    ).otherwise(F.format_string('{ %s"letters" : %d }', unit, n))
-    after = F.when(F.col("turn") > 2, F.format_string('["c%d", "c%d"]', F.col("turn") - 2, F.col("turn") - 1)).otherwise("[]")
-    call = F.format_string('[{"name": "%s", "id": "c%d", "after": %s, "arguments": %s}]', name, F.col("turn"), after, arguments)
+    rows = table(spark, sf_dir, "conversations").withColumn("n", F.char_length("text"))
+    n, turn = F.col("n"), F.col("turn")
+    last = n % 3
+
+    def call(p: Column) -> Column:
+        m = n + p
+        name = F.when(m % 11 == 0, "none").when(m % 2 == 0, "find").otherwise("count")
+        exact = F.when(m % 3 == 0, ', "exact": true').when(m % 3 == 1, ', "exact": "yes"').otherwise("")
+        unit = F.when(m % 3 == 0, '"unit": "letter", ').otherwise("")
+        arguments = F.when(
+            m % 2 == 0, F.format_string('{ "letters": %d%s }', m, exact)
+        ).otherwise(F.format_string('{ %s"letters" : %d }', unit, m))
+        own = F.format_string("c%d-%d", turn, F.when((n % 13 == 0) & (p == 1), 0).otherwise(p))
+        later = F.format_string('"c%d-%d"', turn, p + 1)
+        after = (
+            F.when(n % 19 == 0, F.format_string('["c%d-%d"]', turn, F.when(p == 0, last).otherwise(p - 1)))
+            .when((n % 17 == 0) & (p < last), later).when(n % 17 == 0, "null")
+            .when(p > 0, F.format_string('["c%d-%d", "c%d-0"]', turn, p - 1, turn))
+            .when(n % 23 == 0, F.format_string('["c%d-0"]', turn + 2))
+            .otherwise(F.format_string('["c%d-0", "c%d-0"]', turn - 2, turn - 1))
+        )
+        return F.format_string('{"name": "%s", "id": "%s", "after": %s, "arguments": %s}', name, own, after, arguments)
+
+    calls = F.concat(F.lit("["), F.array_join(F.transform(F.sequence(F.lit(0), last), call), ", "), F.lit("]"))
     spoken = rows.select(
         "conv_id", "turn", "role", F.col("text").alias("content"),
-        F.when(F.col("role") == "assistant", call).alias("tool_calls"), F.lit(None).cast("string").alias("tool_call_id"),
+        F.when(F.col("role") == "assistant", calls).alias("tool_calls"), F.lit(None).cast("string").alias("tool_call_id"),
     )
-    results = rows.where((F.col("role") == "assistant") & (n % 7 != 0)).select(
-        "conv_id", "turn", F.lit("tool").alias("role"), F.left("text", F.lit(20)).alias("content"),
-        F.lit(None).cast("string").alias("tool_calls"), F.format_string("c%d", F.col("turn")).alias("tool_call_id"),
+    of = F.filter(F.array(
+        F.when(n % 7 != 0, F.format_string("c%d-0", turn)), F.when((n % 5 != 0) & (last > 0), F.format_string("c%d-1", turn)),
+        F.when(n % 29 == 0, F.format_string("lost%d", turn)),
+    ), lambda x: x.isNotNull())
+    results = rows.where("role = 'assistant'").select(
+        "conv_id", "turn", F.lit("tool").alias("role"), F.col("text").alias("content"),
+        F.lit(None).cast("string").alias("tool_calls"), F.explode(of).alias("tool_call_id"),
     )
     return spoken.unionByName(results)
 

@@ -217,14 +217,15 @@ def test_tool_calls(spark):
     ]
     columns = "conv_id bigint, turn bigint, role string, content string, tool_calls string, tool_call_id string"
     messages = spark.createDataFrame(rows, columns)
-    calls = {(r.conv_id, r.turn): r for r in tool_calls.link_calls(messages, schemas).collect()}
+    calls = {(r.conv_id, r.row - 1): r for r in tool_calls.link_calls(tool_calls.numbered(messages), schemas).collect()}
     assert {k: r.status for k, r in calls.items()} == {
         (1, 0): "ok", (1, 1): "ok", (1, 5): "repeated", (2, 0): "circular", (2, 1): "bad_arguments", (2, 2): "bad_arguments", (2, 3): "unknown_tool",
+        (1, 4): "lost_result",
     }
     assert calls[1, 0].level == 1 and calls[1, 1].level == 0 and calls[1, 0].result == "R"
     assert calls[1, 0].arguments == '{"n":1,"s":"x"}' and calls[1, 1].arguments == '{"n":2}'
     chats = {r.conv_id: r for r in tool_calls.format_chats(messages, schemas).collect()}
-    assert (chats[1].n_messages, chats[1].n_calls, chats[1].n_ok) == (3, 3, 2) and chats[None].n_messages == 1
+    assert (chats[1].n_messages, chats[1].n_calls, chats[1].n_ok, chats[1].n_lost) == (3, 3, 2, 1) and chats[None].n_messages == 1
     for chat in chats.values():
         assert json.dumps(json.loads(chat.chat), sort_keys=True, separators=(",", ":"), ensure_ascii=False) == chat.chat
     assert tool_calls.format_chats(messages.limit(0), schemas).collect() == []
