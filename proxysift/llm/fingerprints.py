@@ -7,37 +7,49 @@ c * exp(-r * (t - b + 1)), and the sample is the (term, t) with the least value.
 have the same sample with a probability equal to their generalised Jaccard similarity,
 sum of min weights / sum of max weights, so the share of equal samples estimates it.
 
-All of it is DataFrame expressions. The random numbers of a term are drawn once for a text and
-its edited version together, which share most of their terms. The values of a text's terms are reduced to its least
-ones where the text is read; what is shuffled are a few numbers per text.
+All of it is DataFrame expressions. A pair of term and weight has the same values in every
+text, so those of the most frequent pairs are computed once, into a table of ``PAIRS`` rows
+that is broadcast; which pairs are in it changes the cost and no result. The values of a
+text's terms are reduced to its least ones where the text is read. Texts are shuffled once, to
+buckets of neighbouring ids; all that follows is grouped by bucket and needs no other shuffle.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from proxysift.llm.common import ascii_lower
+from proxysift.session import durable
 
 SAMPLES = 64
 # Samples computed in one row; more make methods that the JVM does not compile.
 CHUNK = 4
 MOST_CHUNKS = 32
-MOST_BUCKETS = 1024
+MOST_BUCKETS = 1 << 16
+
+# Pairs whose values are broadcast (8 bytes a sample each, 32 MiB for 64 samples), and how many
+# candidates each task follows to find them. A weight that fills its bits is not looked up.
+PAIRS = 1 << 16
+FOLLOWED = 1 << 18
+WEIGHT_BITS = 8
 
 _ID_BITS = 31
-_PLACE_BITS = 42  # of the key of a text, besides which a chunk and up to 1024 buckets fit
 _LOW = 2**32 - 1
 _NO_ID = -(1 << 63)
+_FIRST_HASH = -1
 
 
 def weighted_terms(text: Column, edited: Column) -> Column:
     """``term`` (hash), ``weight``, ``edited_weight`` of the distinct words of two texts together.
 
-    The lowest bit of a hash tells the text while both are sorted, and is no part of the term.
+    The lowest bit of a hash tells the text while both are sorted. The lowest ``WEIGHT_BITS``
+    bits are no part of the term, so that term and weight fit one number.
     """
-    clear = F.lit(-2).cast("bigint")
+    clear = F.lit(-(1 << WEIGHT_BITS)).cast("bigint")
 
     def hashed(value: Column, version: int) -> Column:
         words = F.filter(F.split(ascii_lower(value), r"[\x20\x09-\x0D]+"), lambda w: w != "")
@@ -84,22 +96,21 @@ def _uniform(bits: Column, size: int) -> Column:
     return (bits.cast("double") + 0.5) * (0.5**size)
 
 
-def least_samples(terms: DataFrame, samples: int = SAMPLES) -> DataFrame:
-    """``key, s0 .., e0 ..`` from rows of ``key, term, weight, edited_weight``: the samples of each
-    text and of its edited version, in chunks.
+def pair_of(term: Column, weight: Column) -> Column:
+    """Term and weight in one number; null for a weight that does not fit."""
+    return F.when(weight < (1 << WEIGHT_BITS), term.bitwiseOR(weight.cast("bigint")))
+
 
-    The key of a chunk is the text's key times ``MOST_CHUNKS`` plus the chunk, one number,
-    which is what an aggregation is fastest on. A sample's value and the id of its (term, t)
-    are packed in one number, the value above, so that its minimum is a plain number that is
-    combined before the shuffle. A term that one version lacks has a null logarithm there, so
-    null values, which a minimum passes over.
+def sample_values(rows: DataFrame, known: Column, kept: list[str]) -> DataFrame:
+    """``kept`` and ``v0 ..`` for rows with ``term, weight, chunk``: the chunk's values of the term.
+
+    A value and the id of its (term, t) are packed in one number, the value above, so that the
+    least sample is a plain minimum. Where ``known`` holds nothing is computed: all that
+    follows from a null hash is null.
     """
-    rows = terms.select(
-        "key", "term", F.ln(F.col("weight").cast("double")).alias("log_s"), F.ln(F.col("edited_weight").cast("double")).alias("log_e"),
-        F.explode(F.sequence(F.lit(0), F.lit(samples // CHUNK - 1))).alias("chunk"),
-    )
     seed = F.col("chunk") * (2 * CHUNK)
-    rows = rows.select("*", *[F.xxhash64("term", seed + k).alias(f"h{k}") for k in range(2 * CHUNK)])
+    hashes = [F.when(~known, F.xxhash64("term", seed + k)).alias(f"h{k}") for k in range(2 * CHUNK)]
+    rows = rows.select(*kept, "term", F.ln(F.col("weight").cast("double")).alias("log"), *hashes)
     numbers = []
     for j in range(CHUNK):
         first, second = F.col(f"h{2 * j}"), F.col(f"h{2 * j + 1}")
@@ -110,19 +121,41 @@ def least_samples(terms: DataFrame, samples: int = SAMPLES) -> DataFrame:
         )
         b = _uniform(second.bitwiseAND(F.lit(2**16 - 1)), 16)
         numbers += [r.alias(f"r{j}"), F.ln(c).alias(f"c{j}"), b.alias(f"b{j}")]
-    rows = rows.select("key", "chunk", "term", "log_s", "log_e", *numbers)
-    names = [(version, j) for version in "se" for j in range(CHUNK)]
-    rows = rows.select("*", *[
-        F.floor(F.col(f"log_{v}") / F.col(f"r{j}") + F.col(f"b{j}")).alias(f"t{v}{j}") for v, j in names
-    ])
+    rows = rows.select(*kept, "term", "log", *numbers)
+    steps = [F.floor(F.col("log") / F.col(f"r{j}") + F.col(f"b{j}")).alias(f"t{j}") for j in range(CHUNK)]
+    rows = rows.select("*", *steps)
     packed = []
-    for v, j in names:
-        r, c, b, t = F.col(f"r{j}"), F.col(f"c{j}"), F.col(f"b{j}"), F.col(f"t{v}{j}")
+    for j in range(CHUNK):
+        r, c, b, t = (F.col(f"{name}{j}") for name in "rcbt")
         value = F.floor((c - r * (t.cast("double") - b + 1.0) + 128.0) * float(2**24))
         name = F.shiftrightunsigned(F.xxhash64("term", t), 64 - _ID_BITS)
-        packed.append(F.shiftleft(value, _ID_BITS).bitwiseOR(name).alias(f"{v}{j}"))
-    rows = rows.select((F.col("key") * MOST_CHUNKS + F.col("chunk")).alias("key"), *packed)
-    return rows.groupBy("key").agg(*[F.min(f"{v}{j}").alias(f"{v}{j}") for v, j in names])
+        packed.append(F.shiftleft(value, _ID_BITS).bitwiseOR(name).alias(f"v{j}"))
+    return rows.select(*kept, *packed)
+
+
+def _chunks(samples: int) -> Column:
+    return F.sequence(F.lit(0), F.lit(samples // CHUNK - 1))
+
+
+def frequent_pairs(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
+    """``pair, known``: the most frequent pairs of all texts with their values for all samples.
+
+    Each task counts with a sketch of bounded size, so what is shuffled does not grow with the
+    vocabulary. The table has at most ``PAIRS`` rows and is stored.
+    """
+    terms = docs.select(F.explode(weighted_terms(F.coalesce("text", F.lit("")), F.lit(""))).alias("t"))
+    pairs = terms.select(pair_of(F.col("t.term"), F.col("t.weight")).alias("pair")).where("pair IS NOT NULL")
+    top = pairs.select(F.expr(f"approx_top_k(pair, {PAIRS}, {FOLLOWED})").alias("top"))
+    low = F.lit((1 << WEIGHT_BITS) - 1)
+    rows = durable(top.select(F.explode("top.item").alias("pair"))).select(
+        "pair", F.col("pair").bitwiseAND(F.lit(-(1 << WEIGHT_BITS))).alias("term"),
+        F.col("pair").bitwiseAND(low).cast("int").alias("weight"), F.explode(_chunks(samples)).alias("chunk"),
+    )
+    values = sample_values(rows, F.lit(False), ["pair", "chunk"])
+    chunk = F.struct("chunk", F.array(*[f"v{j}" for j in range(CHUNK)]).alias("values"))
+    return durable(values.groupBy("pair").agg(
+        F.flatten(F.transform(F.sort_array(F.collect_list(chunk)), lambda c: c["values"])).alias("known")
+    ))
 
 
 def fingerprint_text(chunks: Column) -> Column:
@@ -141,73 +174,158 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
     return F.when((a == "") | (b == ""), (a == b).cast("double")).otherwise(same.cast("double") / samples)
 
 
-def neighbours(docs: DataFrame, buckets: int) -> DataFrame:
-    """Rows in descending doc_id with the text of the next one, ``bucket, guest, place`` besides.
+def _bounds(docs: DataFrame, buckets: int) -> list[tuple[int, int]]:
+    """Where buckets begin in the order of falling id and rising hash: at most twice as many pairs.
 
-    Bounds are doc_ids that occur, at most ``buckets`` of them; a bucket holds the ids up to
-    its bound, from the next bucket also its first document as a guest, and the last one the
-    first document of all. So each row finds the next one in its own bucket.
+    Bounds are ids that occur, so the first row of a bucket is known to be there. An id that
+    is a bound several times holds the rows of several buckets; these are divided at hashes of
+    its texts. Only the bounds come to the driver.
     """
-    key = F.coalesce("doc_id", F.lit(_NO_ID))
-    ids = docs.select(key.alias("key"))
-    # At most ``buckets`` ids come to the driver.
+    ids = docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("key"), "text")
     found = ids.agg(
         F.percentile_approx("key", [i / buckets for i in range(1, buckets + 1)], 10 * buckets).alias("bounds"), F.max("key").alias("most")
     ).first()
-    bounds = sorted({*(found.bounds or []), *([] if found.most is None else [found.most])}, reverse=True)
-    at = F.array(*[F.lit(b) for b in bounds]).cast("array<bigint>")
-    bucket = F.size(F.filter(at, lambda b: b >= F.col("key"))) - 1
+    shares = Counter(found.bounds or [])
+    if found.most is not None:
+        shares[found.most] = max(1, shares[found.most])
+    bounds = {(key, _FIRST_HASH) for key, n in shares.items() if n == 1}
+    hot = {key: n for key, n in shares.items() if n > 1}
+    if hot:
+        part = F.element_at(F.create_map(*[F.lit(x) for pair in hot.items() for x in pair]), F.col("key"))
+        rows = ids.where(F.col("key").isin(list(hot))).select("key", _text_hash(F.col("text")).alias("hash"))
+        # A hash from 0 to 1, in as many parts as the id has buckets; each begins at its least hash.
+        place = F.floor(F.col("hash").cast("double") * 0.5**63 * part)
+        firsts = rows.groupBy("key", place.alias("place")).agg(F.min("hash").alias("hash"))
+        bounds |= {(row.key, row.hash) for row in firsts.collect()}
+    return sorted(bounds, key=lambda bound: (-bound[0], bound[1]))
+
+
+def _text_hash(text: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 1)
+
+
+def neighbours(docs: DataFrame, buckets: int) -> DataFrame:
+    """Rows in descending doc_id with the text of the next one, ``bucket, guest, place`` besides.
+
+    A bucket holds the rows from its bound up to the next one; the row at the bound also visits
+    the bucket before as a guest, that of the first bucket the last one. So each row finds the
+    next one in its own bucket. Rows of one id are ordered by their texts' hashes and may
+    fill several buckets.
+    """
+    bounds = _bounds(docs, buckets)
     last = len(bounds) - 1
+    at = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(h).alias("hash")) for k, h in bounds]).cast(
+        "array<struct<key:bigint,hash:bigint>>"
+    )
+    width = max(1, round(len(bounds) ** 0.5))
+    every = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(h).alias("hash")) for k, h in bounds[::width]]).cast(
+        "array<struct<key:bigint,hash:bigint>>"
+    )
+
+    def begun(of: Column) -> Column:
+        """How many of these bounds are at the row or before it."""
+        return F.size(F.filter(of, lambda b: (b["key"] > F.col("key")) | ((b["key"] == F.col("key")) & (b["hash"] <= F.col("hash")))))
+
+    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("hash", _text_hash(F.col("text")))
+    # First in steps, then between two steps: the square root of the number of bounds each.
+    rows = rows.withColumn("step", begun(every))
+    low = (F.col("step") - 1) * width
+    rows = rows.withColumn("bucket", low + begun(F.slice(at, low + 1, F.lit(width))) - 1)
+    bound = F.get(at, F.col("bucket"))
+    first = (bound["key"] == F.col("key")) & ((bound["hash"] == F.col("hash")) | (bound["hash"] == _FIRST_HASH))
     host = F.col("bucket")
-    homes = F.when(
-        F.array_contains(at, F.col("key")),
-        F.array(F.struct(host.alias("bucket"), F.lit(0).alias("guest")),
-                F.struct(F.when(host == 0, F.lit(last)).otherwise(host - 1).alias("bucket"), F.lit(1).alias("guest"))),
-    ).otherwise(F.array(F.struct(host.alias("bucket"), F.lit(0).alias("guest"))))
-    rows = docs.select("doc_id", key.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("bucket", bucket).withColumn("home", F.explode(homes))
-    rows = rows.select("doc_id", "key", "text", "home.bucket", "home.guest")
-    order = Window.partitionBy("bucket").orderBy("guest", F.col("key").desc(), F.col("doc_id").isNull(), "text")
+    home = F.struct(host.alias("bucket"), F.lit(0).alias("guest"))
+    visit = F.struct(F.when(host == 0, F.lit(last)).otherwise(host - 1).alias("bucket"), F.lit(1).alias("guest"))
+    rows = rows.withColumn("home", F.explode(F.when(first, F.array(home, visit)).otherwise(F.array(home))))
+    rows = rows.select("doc_id", "key", "hash", "text", "home.bucket", "home.guest")
+    order = Window.partitionBy("bucket").orderBy("guest", F.col("key").desc(), F.col("doc_id").isNull(), "hash", "text")
     return rows.select("*", F.row_number().over(order).alias("place"), F.lead("text").over(order).alias("next_text"))
 
 
+def _as_numbers(digest: Column) -> list[Column]:
+    """64 hexadecimal digits as four signed numbers."""
+    return [F.conv(F.substring(digest, 16 * k + 1, 16), 16, -10).cast("bigint") for k in range(4)]
+
+
 def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """Per document its fingerprint, that of its edited text, and likenesses.
 
     The edited text has the last third of its characters replaced by the first ones of the
     next document in descending doc_id (after the last, the first), as many or all there
     are. A null text is empty; a text without words has the empty fingerprint; repeated rows
-    follow each other; a null doc_id comes last.
+    follow each other; a null doc_id comes last. Rows of an id that is a large share of all
+    fill several buckets by their texts; only rows that are equal stay together.
     """
+    if samples % CHUNK or samples // CHUNK > MOST_CHUNKS - 2:
+        raise ValueError(f"samples must be a multiple of {CHUNK}, at most {CHUNK * (MOST_CHUNKS - 2)}")
+    known = frequent_pairs(docs, samples)
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = neighbours(docs, min(max(buckets, 1), MOST_BUCKETS))
     n = F.char_length("text").cast("bigint")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.expr("left(text, char_length(text) - int(floor(char_length(text) / 3)))"),
                       F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), third))
-    key = F.shiftleft(F.col("bucket").cast("bigint"), _PLACE_BITS) + F.col("place")
-    terms = rows.select(key.alias("key"), F.explode(weighted_terms(F.col("text"), edited)).alias("t")).select("key", "t.*")
+    # The facts of a document travel as numbers among its values, in two chunks of their own.
+    none = F.lit(0).cast("bigint")
+    rows = rows.withColumn("edited", edited).select(
+        "bucket", "place", "text", "edited",
+        F.array(F.col("doc_id").cast("bigint"), n, F.col("guest").cast("bigint"), none, *_as_numbers(F.sha2(F.col("edited").cast("binary"), 256))).alias("facts"),
+    )
+    facts = F.array(F.struct(F.lit(None).cast("bigint").alias("term"), F.lit(1).alias("weight"), F.lit(1).alias("edited_weight")))
+    terms = rows.select(
+        "bucket", "place", "facts", F.explode(F.concat(facts, weighted_terms(F.col("text"), F.col("edited")))).alias("t")
+    ).select("bucket", "place", "facts", "t.*")
+    # Of a pair that text and edited text share one row serves both.
+    shared = F.col("weight") == F.col("edited_weight")
+    versions = F.array(
+        F.struct(F.col("weight").alias("w"), F.when(shared, 3).otherwise(1).alias("mask")),
+        F.struct(F.when(shared, 0).otherwise(F.col("edited_weight")).alias("w"), F.lit(2).alias("mask")),
+    )
+    terms = terms.select("bucket", "place", "facts", "term", F.explode(versions).alias("v")).where("v.w > 0").select(
+        "bucket", "place", "facts", "term", F.col("v.w").alias("weight"), F.col("v.mask").alias("mask")
+    )
+    terms = terms.withColumn("pair", pair_of(F.col("term"), F.col("weight"))).join(F.broadcast(known), "pair", "left")
+    fact = F.col("term").isNull()
+    most = samples // CHUNK
+    chunks = F.when(fact, F.array(F.lit(MOST_CHUNKS - 2), F.lit(MOST_CHUNKS - 1))).otherwise(_chunks(samples))
+    rows = terms.select(
+        "bucket", "place", "term", "weight", "mask", F.when(fact, F.col("facts")).otherwise(F.col("known")).alias("known"),
+        F.explode(chunks).alias("chunk"),
+    )
+    at = F.when(F.col("term").isNull(), F.col("chunk") - (MOST_CHUNKS - 2)).otherwise(F.col("chunk")) * CHUNK
+    rows = rows.select(
+        "bucket", (F.col("place").cast("bigint") * MOST_CHUNKS + F.col("chunk")).alias("slot"), "term", "weight", "mask", "chunk",
+        F.col("known").isNotNull().alias("is_known"), *[F.get("known", at + j).alias(f"k{j}") for j in range(CHUNK)],
+    )
+    computed = sample_values(rows, F.col("is_known"), ["bucket", "slot", "mask", *[f"k{j}" for j in range(CHUNK)]])
+    values = computed.select("bucket", "slot", "mask", *[F.coalesce(f"k{j}", f"v{j}").alias(f"v{j}") for j in range(CHUNK)])
+    versions = (("s", 1), ("e", 2))
+    least = values.groupBy("bucket", "slot").agg(*[
+        F.min(F.when(F.col("mask").bitwiseAND(F.lit(bit)) != 0, F.col(f"v{j}"))).alias(f"{name}{j}") for name, bit in versions for j in range(CHUNK)
+    ])
+    held = F.struct((F.col("slot") % MOST_CHUNKS).alias("chunk"), *[
+        F.array(*[f"{name}{j}" for j in range(CHUNK)]).alias(name) for name, _ in versions
+    ])
+    whole = least.groupBy("bucket", F.expr(f"slot div {MOST_CHUNKS}").alias("place")).agg(F.sort_array(F.collect_list(held)).alias("chunks"))
     low = F.lit(2**_ID_BITS - 1)
 
-    def chunked(version: str) -> Column:
-        samples = F.array(*[F.col(f"{version}{j}").bitwiseAND(low) for j in range(CHUNK)])
-        return fingerprint_text(F.collect_list(F.struct((F.col("key") % MOST_CHUNKS).alias("chunk"), samples.alias("samples"))))
-
-    prints = least_samples(terms, samples).groupBy(F.expr(f"key div {MOST_CHUNKS}").alias("key")).agg(
-        chunked("s").alias("print"), chunked("e").alias("edited_print")
-    )
-    # The rows themselves come from the same shuffle as the terms; a text without words has no print.
-    itself = rows.select(
-        key.alias("key"), "guest", "doc_id", n.alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256")
+    def text_of(version: str) -> Column:
+        own = F.filter("chunks", lambda c: c["chunk"] < most)
+        return fingerprint_text(F.transform(own, lambda c: F.struct(
+            c["chunk"].alias("chunk"), F.transform(c[version], lambda v: v.bitwiseAND(low)).alias("samples")
+        )))
+
+    ids, digest = F.element_at("chunks", -2)["s"], F.element_at("chunks", -1)["s"]
+    prints = whole.select(
+        "bucket", "place", text_of("s").alias("print"), text_of("e").alias("edited_print"),
+        F.get(ids, F.lit(0)).alias("doc_id"), F.get(ids, F.lit(1)).alias("n_chars"), F.get(ids, F.lit(2)).alias("guest"),
+        F.array_join(F.transform(digest, lambda v: F.lpad(F.lower(F.hex(v)), 16, "0")), "").alias("edited_sha256"),
     )
-    prints = itself.join(prints, "key", "left").withColumns({
-        "print": F.coalesce("print", F.lit("")), "edited_print": F.coalesce("edited_print", F.lit("")),
-        "bucket": F.shiftright("key", _PLACE_BITS),
-    })
-    order = Window.partitionBy("bucket").orderBy("key")
+    order = Window.partitionBy("bucket").orderBy("place")
     lined = prints.select("*", F.lead("print").over(order).alias("next_print")).where("guest = 0")
     return lined.select(
-        "doc_id", "n_chars", "edited_sha256", F.col("print").alias("fingerprint"),
+        F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "n_chars", "edited_sha256", F.col("print").alias("fingerprint"),
         F.col("edited_print").alias("edited_fingerprint"),
         likeness(F.col("print"), F.col("edited_print"), samples).alias("near_edited"),
         likeness(F.col("print"), F.col("next_print"), samples).alias("near_next"),

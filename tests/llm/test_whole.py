@@ -99,3 +99,39 @@ def test_one_text_per_sampled_id_reaches_the_driver(spark, monkeypatch):
     toxicity.train(docs.repartition(3), labels)
     assert len(found[0]) == 3 and found[0] == found[1]
     assert {(text, toxic) for text, toxic in found[0] if toxic == 0} == {("a single text", 0), (None, 0)}
+
+
+def test_an_id_on_a_third_of_all_rows(spark):
+    """Its rows fill several buckets, each row is fingerprinted once, and neighbours follow on."""
+    rows = [(i if i % 3 else 7, f"text number {i} of word{i % 11} and word{i % 5} w{i}") for i in range(1200)]
+    docs = spark.createDataFrame([*rows, *rows[:20]], "doc_id bigint, text string")
+    dealt = fingerprints.neighbours(docs, 16)
+    sizes = {r.bucket: r["count"] for r in dealt.groupBy("bucket").count().collect()}
+    assert max(sizes.values()) < 3 * sum(sizes.values()) / len(sizes) and len(sizes) >= 12
+    assert dealt.where("guest = 1").count() <= len(sizes) + 20
+    lined = dealt.where("guest = 0").collect()
+    assert len(lined) == 1220
+    order = sorted(lined, key=lambda r: (-r.key, r.hash, r.text.encode()))
+    assert all(a.next_text == b.text for a, b in zip(order, [*order[1:], order[0]], strict=True))
+    # Whole buckets in order: ids fall, hashes rise.
+    assert [r.bucket for r in order] == sorted(r.bucket for r in order)
+    assert fingerprints.fingerprints(docs, 8).count() == 1220
+
+
+def test_values_of_frequent_pairs_are_those_of_any_other(spark, monkeypatch):
+    docs = spark.createDataFrame(
+        [(i, " ".join(f"w{i * k % 13}" for k in range(i % 400))) for i in range(60)], "doc_id bigint, text string"
+    )
+
+    def run():
+        return sorted(map(tuple, fingerprints.fingerprints(docs, 16).collect()))
+
+    whole = run()
+    monkeypatch.setattr(fingerprints, "PAIRS", 1)
+    assert whole == run()
+
+
+def test_texts_are_shuffled_once(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id bigint, text string")
+    text = fingerprints.fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "EvalPython" not in text and "SortMergeJoin" not in text
