@@ -8,8 +8,8 @@ have the same sample with a probability equal to their generalised Jaccard simil
 sum of min weights / sum of max weights, so the share of equal samples estimates it.
 
 All of it is DataFrame expressions. A pair of term and weight has the same values in every
-text, so those of the most frequent pairs are computed once, into a table of ``PAIRS`` rows
-that is broadcast; which pairs are in it changes the cost and no result. The values of a
+text, so those of the most frequent pairs are computed once, into a table of bounded
+size that is broadcast; which pairs are in it changes the cost and no result. The values of a
 text's terms are reduced to its least ones where the text is read. Texts are shuffled once, to
 buckets of neighbouring ids; all that follows is grouped by bucket and needs no other shuffle.
 """
@@ -31,31 +31,46 @@ CHUNK = 4
 MOST_CHUNKS = 32
 MOST_BUCKETS = 1 << 16
 
-# Pairs whose values are broadcast (8 bytes a sample each, 32 MiB for 64 samples), and how many
-# candidates each task follows to find them. A weight that fills its bits is not looked up.
-PAIRS = 1 << 16
+# Most frequent terms whose values are broadcast (8 bytes a sample and weight, about 34 MiB for
+# 64 samples), and how many candidates each task follows to find them. The weights of a term
+# that are in the table fall with its rank. A weight that does not fit its bits is not looked up.
+TERMS = 48_000
 FOLLOWED = 1 << 18
+WEIGHT_POWER = 2.5
 WEIGHT_BITS = 8
 
+# The last word of a text, tried only where a word begins.
+LAST_WORD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]*+\z"
+
 _ID_BITS = 31
 _LOW = 2**32 - 1
 _NO_ID = -(1 << 63)
 _FIRST_HASH = -1
 
 
-def weighted_terms(text: Column, edited: Column) -> Column:
-    """``term`` (hash), ``weight``, ``edited_weight`` of the distinct words of two texts together.
+def hashed_words(text: Column) -> Column:
+    """The terms of a text, one per word."""
+    words = F.filter(F.split(ascii_lower(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.transform(words, term_of)
+
+
+def term_of(word: Column) -> Column:
+    return F.xxhash64(word).bitwiseAND(F.lit(-(1 << WEIGHT_BITS)).cast("bigint"))
+
+
+def weighted_terms(shared: Column, own: Column, edited: Column) -> Column:
+    """``term``, ``weight``, ``edited_weight`` of the distinct words of two texts together.
 
-    The lowest bit of a hash tells the text while both are sorted. The lowest ``WEIGHT_BITS``
-    bits are no part of the term, so that term and weight fit one number.
+    Both texts begin with the words of ``shared``, which are read once; one goes on with
+    ``own``, the other with ``edited``. The lowest bits of a hash, which are no part of the
+    term, tell which of the texts a word is in while all are sorted.
     """
     clear = F.lit(-(1 << WEIGHT_BITS)).cast("bigint")
 
-    def hashed(value: Column, version: int) -> Column:
-        words = F.filter(F.split(ascii_lower(value), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-        return F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(clear).bitwiseOR(F.lit(version).cast("bigint")))
+    def tagged(text: Column, mask: int) -> Column:
+        return F.transform(hashed_words(text), lambda h: h.bitwiseOR(F.lit(mask).cast("bigint")))
 
-    hashes = F.sort_array(F.concat(hashed(text, 0), hashed(edited, 1)))
+    hashes = F.sort_array(F.concat(tagged(shared, 3), tagged(own, 1), tagged(edited, 2)))
 
     def runs(sorted_hashes: Column) -> Column:
         starts = F.filter(
@@ -67,28 +82,33 @@ def weighted_terms(text: Column, edited: Column) -> Column:
     def entries(found: Column) -> Column:
         n = F.size(found["hashes"])
         return F.transform(found["starts"], lambda at, k: F.struct(
-            F.get(found["hashes"], at).alias("term"),
-            (F.coalesce(F.get(found["starts"], k + 1), n) - at).alias("weight"),
+            F.get(found["hashes"], at).bitwiseAND(clear).alias("term"),
+            F.get(found["hashes"], at).bitwiseAND(F.lit(3)).alias("mask"),
+            (F.coalesce(F.get(found["starts"], k + 1), n) - at).alias("n"),
         ))
 
-    def paired(found: Column) -> Column:
+    def joined(found: Column) -> Column:
         def one(entry: Column, k: Column) -> Column:
-            term = entry["term"].bitwiseAND(clear)
-            before, after = F.get(found, k - 1), F.get(found, k + 1)
-            of_edited = F.when(after["term"].bitwiseAND(clear) == term, after["weight"])
-            first = F.struct(
-                term.alias("term"), entry["weight"].alias("weight"), F.coalesce(of_edited, F.lit(0)).alias("edited_weight")
-            )
-            only_edited = F.struct(term.alias("term"), F.lit(0).alias("weight"), entry["weight"].alias("edited_weight"))
-            alone = (k == 0) | (before["term"].bitwiseAND(clear) != term)
-            return F.when(entry["term"] == term, first).when(alone, only_edited)
+            term = entry["term"]
+            # The tags of a term follow each other, 1, 2 and 3 at most.
+            others = [F.get(found, k + step) for step in (1, 2)]
+
+            def weight(bit: int) -> Column:
+                total = F.when(entry["mask"].bitwiseAND(F.lit(bit)) != 0, entry["n"]).otherwise(0)
+                for other in others:
+                    counts = (other["term"] == term) & (other["mask"].bitwiseAND(F.lit(bit)) != 0)
+                    total += F.when(counts, other["n"]).otherwise(0)
+                return total
+
+            first = (k == 0) | (F.get(found, k - 1)["term"] != term)
+            return F.when(first, F.struct(term.alias("term"), weight(1).alias("weight"), weight(2).alias("edited_weight")))
 
         return F.filter(F.transform(found, one), lambda x: x.isNotNull())
 
     # One-element arrays bind what is used many times to a name.
     bound = F.filter(F.transform(F.array(hashes), lambda h: F.when(F.size(h) > 0, runs(h))), lambda x: x.isNotNull())
     none = F.array().cast("array<struct<term:bigint,weight:int,edited_weight:int>>")
-    return F.coalesce(F.get(F.transform(F.transform(bound, entries), paired), F.lit(0)), none)
+    return F.coalesce(F.get(F.transform(F.transform(bound, entries), joined), F.lit(0)), none)
 
 
 def _uniform(bits: Column, size: int) -> Column:
@@ -140,16 +160,19 @@ def _chunks(samples: int) -> Column:
 def frequent_pairs(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """``pair, known``: the most frequent pairs of all texts with their values for all samples.
 
-    Each task counts with a sketch of bounded size, so what is shuffled does not grow with the
-    vocabulary. The table has at most ``PAIRS`` rows and is stored.
+    Words of all texts are counted, each task with a sketch of bounded size, so what is
+    shuffled does not grow with the vocabulary. The word of rank r is in the table with the
+    weights w for which r * w ** 2.5 is at most ``TERMS``, as larger weights are rarer. The
+    table has at most ``TERMS * 1.4`` rows and is stored.
     """
-    terms = docs.select(F.explode(weighted_terms(F.coalesce("text", F.lit("")), F.lit(""))).alias("t"))
-    pairs = terms.select(pair_of(F.col("t.term"), F.col("t.weight")).alias("pair")).where("pair IS NOT NULL")
-    top = pairs.select(F.expr(f"approx_top_k(pair, {PAIRS}, {FOLLOWED})").alias("top"))
-    low = F.lit((1 << WEIGHT_BITS) - 1)
-    rows = durable(top.select(F.explode("top.item").alias("pair"))).select(
-        "pair", F.col("pair").bitwiseAND(F.lit(-(1 << WEIGHT_BITS))).alias("term"),
-        F.col("pair").bitwiseAND(low).cast("int").alias("weight"), F.explode(_chunks(samples)).alias("chunk"),
+    words = docs.select(F.explode(F.split(ascii_lower(F.coalesce("text", F.lit(""))), r"[\x20\x09-\x0D]+")).alias("word"))
+    terms = words.where("word != ''").select(term_of(F.col("word")).alias("term"))
+    top = durable(terms.select(F.expr(f"approx_top_k(term, {TERMS}, {FOLLOWED})").alias("top")))
+    ranked = top.select(F.posexplode("top.item").alias("rank", "term"))
+    most = F.floor(F.pow(TERMS / (F.col("rank") + 1), 1 / WEIGHT_POWER)).cast("int")
+    weights = F.sequence(F.lit(1), F.least(most, F.lit((1 << WEIGHT_BITS) - 1)))
+    rows = ranked.select("term", F.explode(weights).alias("weight")).select(
+        pair_of(F.col("term"), F.col("weight")).alias("pair"), "term", "weight", F.explode(_chunks(samples)).alias("chunk")
     )
     values = sample_values(rows, F.lit(False), ["pair", "chunk"])
     chunk = F.struct("chunk", F.array(*[f"v{j}" for j in range(CHUNK)]).alias("values"))
@@ -264,17 +287,23 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     rows = neighbours(docs, min(max(buckets, 1), MOST_BUCKETS))
     n = F.char_length("text").cast("bigint")
     third = F.floor(n / 3).cast("int")
-    edited = F.concat(F.expr("left(text, char_length(text) - int(floor(char_length(text) / 3)))"),
-                      F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), third))
+    kept = F.expr("left(text, char_length(text) - int(floor(char_length(text) / 3)))")
+    edited = F.concat(kept, F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), third))
+    # The words that both texts begin with: all before the one that the cut may go through.
+    shared = F.regexp_replace(kept, LAST_WORD, "")
     # The facts of a document travel as numbers among its values, in two chunks of their own.
     none = F.lit(0).cast("bigint")
-    rows = rows.withColumn("edited", edited).select(
-        "bucket", "place", "text", "edited",
+    rows = rows.withColumns({"edited": edited, "shared": shared}).select(
+        "bucket", "place", "text", "edited", "shared",
         F.array(F.col("doc_id").cast("bigint"), n, F.col("guest").cast("bigint"), none, *_as_numbers(F.sha2(F.col("edited").cast("binary"), 256))).alias("facts"),
     )
     facts = F.array(F.struct(F.lit(None).cast("bigint").alias("term"), F.lit(1).alias("weight"), F.lit(1).alias("edited_weight")))
+
+    def rest(name: str) -> Column:
+        return F.substring(F.col(name), F.char_length("shared") + 1, F.char_length(name))
+
     terms = rows.select(
-        "bucket", "place", "facts", F.explode(F.concat(facts, weighted_terms(F.col("text"), F.col("edited")))).alias("t")
+        "bucket", "place", "facts", F.explode(F.concat(facts, weighted_terms(F.col("shared"), rest("text"), rest("edited")))).alias("t")
     ).select("bucket", "place", "facts", "t.*")
     # Of a pair that text and edited text share one row serves both.
     shared = F.col("weight") == F.col("edited_weight")

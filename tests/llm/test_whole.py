@@ -127,7 +127,7 @@ def test_values_of_frequent_pairs_are_those_of_any_other(spark, monkeypatch):
         return sorted(map(tuple, fingerprints.fingerprints(docs, 16).collect()))
 
     whole = run()
-    monkeypatch.setattr(fingerprints, "PAIRS", 1)
+    monkeypatch.setattr(fingerprints, "TERMS", 1)
     assert whole == run()
 
 
