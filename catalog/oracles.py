@@ -309,11 +309,12 @@ _SELECTS = {
         round(CASE WHEN count(DISTINCT clientip) < 2 THEN 0.75 ELSE 1.05 / count(DISTINCT clientip) END, 6) AS fraction FROM counts""",
     "topic_model_online": "SELECT CAST(topic AS INTEGER) AS topic, (SELECT count(*) FROM words) AS words, 1.0::DOUBLE AS total FROM topic_ids",
     "topic_model_em": "SELECT CAST(topic AS INTEGER) AS topic, (SELECT count(*) FROM words) AS words, 1.0::DOUBLE AS total FROM topic_ids",
+    "topic_model_drawn": "SELECT CAST(topic AS INTEGER) AS topic, (SELECT count(*) FROM words) AS words, 1.0::DOUBLE AS total, TRUE AS better FROM topic_ids",
     "topic_mix_of_documents": f"SELECT DISTINCT clientip AS document_name, {TOPICS} AS topics, 1.0::DOUBLE AS total FROM counts",
     "anomaly_model_tables": f"SELECT DISTINCT clientip AS document_name, {TOPICS} AS topics, 1.0::DOUBLE AS total, TRUE AS dominant FROM counts",
     "model_save_and_load": "SELECT count(DISTINCT clientip) AS documents, CAST(0 AS BIGINT) AS differences FROM counts",
-    "anomalies": """SELECT count(*) AS records, count(DISTINCT clientip) AS clients, count(DISTINCT word) AS words, CAST(0 AS BIGINT) AS outside
-        FROM worded WHERE word <> 'word_error'""",
+    "anomalies": """SELECT count(*) AS records, count(DISTINCT clientip) AS clients, count(DISTINCT word) AS words, CAST(0 AS BIGINT) AS outside,
+        CAST(0 AS BIGINT) AS out_of_order FROM worded WHERE word <> 'word_error'""",
     "pair_scores": f"""SELECT clientip, word, round(coalesce({_DOT}, 0), 6) AS score FROM counts
         LEFT JOIN mix ON document_name = clientip LEFT JOIN probs USING (word)""",
     "scored_records": f"SELECT {_CLEAN}, word, round(score, 6) AS score FROM scored",

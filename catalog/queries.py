@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -622,11 +623,35 @@ def ranked_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def anomalies(spark, sf_dir):
-    return ranked_anomalies(spark, sf_dir).agg(
+    """Counts over the ranked records, and how many of them, as written, are out of order."""
+    ranked = durable(ranked_anomalies(spark, sf_dir))
+    order = op.out_of_order(ranked).select((F.col("within") + F.col("between")).alias("out_of_order"))
+    return ranked.agg(
         F.count(F.lit(1)).alias("records"), F.countDistinct("clientip").alias("clients"),
         F.countDistinct("word").alias("words"),
         F.count_if(~F.col("score").between(0.0, FIT.threshold)).alias("outside"),
-    )
+    ).join(order)
+
+
+@query
+def topic_model_drawn(spark, sf_dir):
+    """The fit that reads what it draws: exact sums, and whether it has learned from them.
+
+    ``better`` says that its mixes make the corpus likelier than equally frequent words would.
+    """
+    counts = t.word_counts(spark, sf_dir)
+    words = durable(op.word_dictionary(counts))
+    entries = durable(op.lookup_join(counts, words, "word", "inner").select("clientip", "word_number", "word_count"))
+    documents = entries.select("clientip").distinct().count()
+    params = AnalysisParams(iterations=FIT.iterations)
+    model = op.fit_drawn(entries, words, documents, params, FIT.batch or batch_fraction(documents))
+    mix = durable(op.mix_by_joins(entries, model.weights, model.alpha))
+    gain = op.log_likelihood(entries, mix, model.weights, params.topics) + math.log(words.count())
+    long = model.weights.select("word_number", F.posexplode("weights").alias("topic", "weight"))
+    totals = F.array(*[F.lit(total) for total in model.totals])
+    return long.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("words"), rounded(F.sum(F.col("weight") / F.get(totals, F.col("topic"))), "total")
+    ).withColumn("better", F.lit(gain > 0))
 
 
 @query

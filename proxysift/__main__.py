@@ -41,7 +41,7 @@ def parse_analysis_args(argv: Sequence[str]) -> argparse.Namespace:
     cli.add_argument("--threshold", type=float, default=AnalysisParams.threshold)
     cli.add_argument("--topics", type=int, default=AnalysisParams.topics)
     cli.add_argument("--iterations", type=int, default=AnalysisParams.iterations)
-    cli.add_argument("--optimizer", default=AnalysisParams.optimizer, choices=["online", "em"])
+    cli.add_argument("--optimizer", default=AnalysisParams.optimizer, choices=["online", "em", "drawn"])
     cli.add_argument("--model-path")
     return cli.parse_args(argv)
 

@@ -11,6 +11,7 @@ from proxysift.operators.cleaning import (
 from proxysift.operators.corpus import long_corpus, vector_corpus
 from proxysift.operators.counts import agent_counts, document_word_counts, with_valid_word
 from proxysift.operators.dictionaries import dense_index, document_dictionary, word_dictionary
+from proxysift.operators.drawn_topics import DrawnTopics, draw_batches, fit_drawn, log_likelihood, mix_by_joins
 from proxysift.operators.ingest import (
     accepted,
     adapt_for_analysis,
@@ -26,6 +27,7 @@ from proxysift.operators.lookup import fits_broadcast, lookup_join, measured_byt
 from proxysift.operators.scoring import (
     filter_suspicious,
     least_likely_first,
+    out_of_order,
     score_pairs,
     score_records,
 )
@@ -34,6 +36,7 @@ from proxysift.operators.topics import (
     fit_topics,
     mix_by_document_name,
     normalise_weights,
+    saved_topic_weights,
     topic_mix,
     topic_weights,
     with_dominant_topic,
@@ -41,12 +44,12 @@ from proxysift.operators.topics import (
 from proxysift.operators.words import with_domain_info, with_domains, with_popularity, with_words
 
 __all__ = [
-    "accepted", "adapt_for_analysis", "agent_counts", "batch_fraction", "cast_columns",
+    "DrawnTopics", "accepted", "adapt_for_analysis", "agent_counts", "batch_fraction", "cast_columns",
     "clean_records", "compose_uri", "dense_index", "document_dictionary",
-    "document_word_counts", "drop_incomplete", "fill_missing", "filter_suspicious",
-    "fit_topics", "fits_broadcast", "least_likely_first", "long_corpus", "lookup_join", "measured_bytes",
-    "mix_by_document_name", "normalise_weights", "parse_csv", "parse_lines",
-    "record_table", "rejected", "rename_columns", "score_pairs", "score_records",
+    "document_word_counts", "draw_batches", "drop_incomplete", "fill_missing", "filter_suspicious",
+    "fit_drawn", "fit_topics", "fits_broadcast", "least_likely_first", "log_likelihood", "long_corpus", "lookup_join", "measured_bytes",
+    "mix_by_document_name", "mix_by_joins", "normalise_weights", "out_of_order", "parse_csv", "parse_lines",
+    "record_table", "rejected", "rename_columns", "saved_topic_weights", "score_pairs", "score_records",
     "split_timestamp", "timestamp_index", "topic_mix", "topic_weights", "vector_corpus",
     "with_converted_time", "with_domain_info", "with_domains", "with_dominant_topic",
     "with_popularity", "with_words", "word_dictionary", "with_valid_word",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from proxysift import constants as C
 from proxysift.functions import dot, widen
@@ -48,6 +49,29 @@ def filter_suspicious(scored: DataFrame, threshold: float = C.SCORE_THRESHOLD) -
     return scored.where((F.col("score") <= threshold) & (F.col("score") > C.SCORE_ERROR))
 
 
+def out_of_order(written: DataFrame, key: str = "score") -> DataFrame:
+    """``files, within, between``: neighbours of a written, range-sorted table that are out of order.
+
+    Rows are compared with the row before them in their file, by their place in it, and the
+    largest key of a file with the least one of the next file that has rows. The files of a
+    sorted write are in order of their names.
+    """
+    rows = written.select(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place"), F.col(key).alias("key")
+    )
+    by_place = Window.partitionBy("file").orderBy("place")
+    stepped = rows.select("file", "key", F.lag("key").over(by_place).alias("before"))
+    manifest = stepped.groupBy("file").agg(
+        F.min("key").alias("least"), F.max("key").alias("largest"), F.count_if(F.col("key") < F.col("before")).alias("within")
+    )
+    # One row per file.
+    joined = manifest.select("within", "least", F.lag("largest").over(Window.orderBy("file")).alias("before"))
+    return joined.agg(
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("within"), F.lit(0)).alias("within"),
+        F.count_if(F.col("least") < F.col("before")).alias("between"),
+    )
+
+
 def least_likely_first(scored: DataFrame, top: int | None = None) -> DataFrame:
     """Ascending by score; ``top`` keeps the first ones.
 

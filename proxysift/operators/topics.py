@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proxysift.functions import widen
@@ -61,6 +61,24 @@ def topic_weights(model: LDAModel, words: DataFrame) -> DataFrame:
     return lookup_join(long, words, "word_number", "inner").select("word", "topic", "weight")
 
 
+def saved_topic_weights(spark: SparkSession, path: str, words: DataFrame) -> DataFrame:
+    """``word, topic, weight`` of a distributed model that was saved at ``path``.
+
+    The saved graph has a vertex per word, with a negative number, that holds the word's
+    weights; they are read as a table, so no topic passes through the driver.
+    """
+    vertices = spark.read.parquet(f"{path}/oldModel/data/topicCounts").where("id < 0")
+    long = vertices.select(
+        (-F.col("id") - 1).cast("int").alias("word_number"),
+        F.posexplode(vector_to_array("topicWeights")).alias("topic", "weight"),
+    )
+    sums = long.groupBy("topic").agg(F.sum("weight").alias("_total"))
+    shares = long.join(F.broadcast(sums), "topic").select(
+        "word_number", "topic", (F.col("weight") / F.col("_total")).alias("weight")
+    )
+    return lookup_join(shares, words, "word_number", "inner").select("word", "topic", "weight")
+
+
 def normalise_weights(weights: DataFrame) -> DataFrame:
     """``word, topic_probs``: each topic's weights divided by their sum, ordered by topic.
 

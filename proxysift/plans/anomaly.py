@@ -7,14 +7,19 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml.clustering import LDAModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from proxysift.operators import (
+    DrawnTopics,
     agent_counts,
+    batch_fraction,
     document_word_counts,
     filter_suspicious,
+    fit_drawn,
     fit_topics,
     least_likely_first,
     lookup_join,
+    mix_by_joins,
     normalise_weights,
     score_pairs,
     topic_mix,
@@ -32,7 +37,7 @@ from proxysift.sources import save_model, write_table
 class Trained:
     """A fitted model and the tables that scoring needs."""
 
-    model: LDAModel
+    model: LDAModel | DrawnTopics
     worded: DataFrame
     counts: DataFrame
     mix: DataFrame
@@ -42,13 +47,16 @@ class Trained:
 def train(records: DataFrame, ranked: DataFrame, params: AnalysisParams) -> Trained:
     """Words, corpus and topic model of cleaned records.
 
-    The records are read twice, for the agent counts and for the word counts; everything
-    after that works on the counted table.
+    The records are read twice, for the agent counts and for the words, which are made once and
+    stored beside the records' columns. ``optimizer`` is ``online`` or ``em`` (Spark's own fits)
+    or ``drawn`` (``operators.fit_drawn``); with the last one ``model_path`` gets a table of weights.
     """
     agents, ranked = durable(agent_counts(records)), durable(ranked)
-    worded = with_words(records, ranked, agents, params.own_domain)
+    worded = durable(with_words(records, ranked, agents, params.own_domain))
     counts = durable(document_word_counts(worded))
     words = word_dictionary(counts)
+    if params.optimizer == "drawn":
+        return _train_drawn(worded, counts, words, params)
     corpus = durable(vector_corpus(counts, words, words.count()))
     corpus.persist(StorageLevel.MEMORY_AND_DISK)
     model = fit_topics(corpus, corpus.count(), params)
@@ -60,6 +68,20 @@ def train(records: DataFrame, ranked: DataFrame, params: AnalysisParams) -> Trai
     return Trained(model, worded, counts, mix, probs)
 
 
+def _train_drawn(worded: DataFrame, counts: DataFrame, words: DataFrame, params: AnalysisParams) -> Trained:
+    """The model whose iterations read drawn documents only; no table passes through the driver."""
+    words = durable(words)
+    entries = durable(lookup_join(counts, words, "word", "inner").select("clientip", "word_number", "word_count"))
+    documents = entries.select("clientip").distinct().count()
+    model = fit_drawn(entries, words, documents, params, params.batch or batch_fraction(documents))
+    if params.model_path:
+        write_table(model.weights, params.model_path, mode="overwrite")
+    mix = durable(mix_by_joins(entries, model.weights, model.alpha))
+    long = model.weights.select(F.col("word_number").cast("int").alias("word_number"), F.posexplode("weights").alias("topic", "weight"))
+    named = lookup_join(long, words, "word_number", "inner").select("word", "topic", "weight")
+    return Trained(model, worded, counts, mix, durable(normalise_weights(named)))
+
+
 def detect_anomalies(records: DataFrame, ranked: DataFrame, params: AnalysisParams) -> DataFrame:
     """Suspicious records with their ``word`` and ``score``, least likely first.
 

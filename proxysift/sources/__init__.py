@@ -1,9 +1,9 @@
 """Readers and writers."""
 
 from proxysift.sources.readers import ranked_labels, read_lines, read_ranked_domains, read_records
-from proxysift.sources.sinks import load_model, save_model, write_table
+from proxysift.sources.sinks import load_model, publish, removed, save_model, write_table
 
 __all__ = [
-    "load_model", "ranked_labels", "read_lines", "read_ranked_domains", "read_records",
-    "save_model", "write_table",
+    "load_model", "publish", "ranked_labels", "read_lines", "read_ranked_domains", "read_records",
+    "removed", "save_model", "write_table",
 ]

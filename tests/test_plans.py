@@ -86,3 +86,15 @@ def test_analysis_as_a_job(spark, stored, tmp_path):
     run_analysis(spark, records, t.ranked(spark, SF), AnalysisParams(topics=4, iterations=3, top=5), out)
     assert spark.read.parquet(out).count() == 5
     assert set(folder.iterdir()) == before
+
+
+def test_analysis_with_drawn_documents(spark, stored):
+    """The whole analysis by the fit that reads what it draws; only folders and sizes differ."""
+    params = AnalysisParams(topics=4, iterations=4, optimizer="drawn", batch=0.2, threshold=1.0)
+    records = op.clean_records(spark.read.parquet(stored))
+    found = durable(detect_anomalies(records, durable(t.ranked(spark, SF)), params))
+    assert op.out_of_order(found).first()["within"] == 0
+    trained = train(records, durable(t.ranked(spark, SF)), params)
+    assert found.count() == op.with_valid_word(trained.worded).count()
+    shares = trained.mix.select(F.aggregate("topic_prob_mix", F.lit(0.0), lambda a, b: a + b).alias("s")).collect()
+    assert all(abs(row.s - 1) < 1e-9 for row in shares)
