@@ -644,7 +644,7 @@ def topic_model_drawn(spark, sf_dir):
     entries = durable(op.lookup_join(counts, words, "word", "inner").select("clientip", "word_number", "word_count"))
     documents = entries.select("clientip").distinct().count()
     params = AnalysisParams(iterations=FIT.iterations)
-    model = op.fit_drawn(entries, words, documents, params, FIT.batch or batch_fraction(documents))
+    model = op.fit_drawn(entries, words, documents, params, 0.2)
     mix = durable(op.mix_by_joins(entries, model.weights, model.alpha))
     gain = op.log_likelihood(entries, mix, model.weights, params.topics) + math.log(words.count())
     long = model.weights.select("word_number", F.posexplode("weights").alias("topic", "weight"))
