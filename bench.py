@@ -76,7 +76,8 @@ def main() -> None:
         ),
         "model_fit_20": lambda: op.fit_topics(corpus, documents, FIT),
         "scoring": lambda: consume(
-            op.least_likely_first(op.filter_suspicious(op.score_records(words, mix, probs, t.TOPICS)))
+            # Stored before the sort, as the job does it: a range sort reads its input twice.
+            op.least_likely_first(durable(op.filter_suspicious(op.score_records(words, mix, probs, t.TOPICS))))
         ),
         "anomaly_detection": lambda: consume(detect_anomalies(records(), ranked, FIT)),
     }
