@@ -1,23 +1,28 @@
 """Language-model scores by context-tree weighting over binary-decomposed bytes.
 
 A byte is eight binary decisions. Each decision has a tree of contexts: none, the byte
-before, the two bytes before. Every node holds a Krichevsky-Trofimov estimate; a node's
-weighted probability is half its own estimate and half the product of its children, which
-mixes all depths by how well they code the training texts. The trained tree gives each byte
-a probability in each context, and a text its code length.
+before, and so on up to ``depth`` bytes before. Every node holds a Krichevsky-Trofimov
+estimate; a node's weighted probability is half its own estimate and half the product of its
+children, which mixes all depths by how well they code the training texts. The trained tree
+gives each byte a probability in each context, and a text its code length.
 
 A text is preceded by ``depth`` zero bytes and ended by 0xFF, which UTF-8 never holds.
-Counts of (context, byte) are gathered from every training text by Spark. With depth 2 there
-are at most 256 ** 3 of them whatever the corpus, and the table of log probabilities that
-is sent to the tasks has that many 4-byte numbers: 64 MiB.
+
+The tree is a table per depth, (context, node of the byte's bits), made by Spark: counts and
+weighted probabilities go up by grouping on the shorter context, the mixture comes down by
+joins. A key meets at most 256 longer contexts, so there is no hot one. The tables grow with the
+corpus and never pass the driver. The most frequent grams, a fixed number, are looked up where
+a text is read; all others are counted per row and joined by shuffle, so the number of
+looked-up grams changes the cost and no result. A gram that training never saw takes each of
+its decisions from the longest context that did see it.
 
 Beside it stands a word model with add-one smoothing. Its words are counted over the whole
-training corpus. The most frequent ones, a fixed number, are looked up where a text is read;
-all others are joined by shuffle.
+training corpus; frequent ones are looked up as grams are, and all others are joined.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,15 +31,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proxysift.llm.ngram_join import word_hashes
+from proxysift.operators.lookup import lookup_join
 from proxysift.session import durable
 
-DEPTH = 2
+DEPTH = 4
+# Contexts and the byte after them are one 64-bit number.
+MOST_DEPTH = 6
 END = 0xFF
 HEAD_WORDS = 65_536
+HEAD_GRAMS = 1 << 20
 HELD_OUT = (7, 2)
 
 _BYTES = 256
-_LOG_HALF = np.log(0.5)
+_LOG_HALF = math.log(0.5)
 
 
 def held_out(doc_id: Column, parts: int = HELD_OUT[0], part: int = HELD_OUT[1]) -> Column:
@@ -95,7 +104,7 @@ def corpus_counts(texts: DataFrame, depth: int = DEPTH, flush: int = 2_000_000)
                 found = rows["text"].tolist()
                 codes, starts = _framed(found, depth)
                 grams = _grams(codes, depth)
-                grams = grams[_text_places(starts, len(grams), depth)].astype(np.uint32 if depth < 4 else np.int64)
+                grams = grams[_text_places(starts, len(grams), depth)]
                 hashes, _ = word_hashes(found)
                 for kind, values in (("gram", grams), ("word", hashes.view(np.int64))):
                     keys, counts = np.unique(values, return_counts=True)
@@ -109,94 +118,124 @@ def corpus_counts(texts: DataFrame, depth: int = DEPTH, flush: int = 2_000_000)
     return counted.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def _log_gamma(x: np.ndarray) -> np.ndarray:
-    """Log of the gamma function for positive numbers, by Stirling's series from 8 on."""
-    shift = np.zeros_like(x)
+def _log_gamma(x: Column) -> Column:
+    """Log of the gamma function for positive numbers: Stirling's series, eight steps above."""
+    below = F.lit(1.0)
     for k in range(8):
-        shift += np.where(x < 8, np.log(x), 0.0)
-        x = np.where(x < 8, x + 1, x)
-    r = 1.0 / x
-    series = r * (1 / 12 - r * r * (1 / 360 - r * r * (1 / 1260 - r * r / 1680)))
-    return (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + series - shift
+        below = below * (x + float(k))
+    y = x + 8.0
+    square = y * y
+    series = (1 / 12 - (1 / 360 - (1 / 1260 - F.lit(1 / 1680) / square) / square) / square) / y
+    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - F.log(below)
 
 
-def _decisions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per context (row of byte counts) zeros and ones at the 256 nodes of the byte's bits.
+def _estimate(zeros: Column, ones: Column) -> Column:
+    """Log of the Krichevsky-Trofimov probability of a sequence with these counts."""
+    both = _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5)
+    return both - math.log(math.pi) - _log_gamma(zeros + ones + 1.0)
 
-    Node 1 decides the first bit; node 2m + bit follows node m. Node 0 is unused.
-    """
-    tree = np.zeros((len(counts), 2 * _BYTES))
-    tree[:, _BYTES:] = counts
-    for node in range(_BYTES - 1, 0, -1):
-        tree[:, node] = tree[:, 2 * node] + tree[:, 2 * node + 1]
-    return tree[:, 0 : 2 * _BYTES : 2], tree[:, 1 : 2 * _BYTES : 2]
 
+def _log_sum(a: Column, b: Column) -> Column:
+    """Log of the sum of two numbers given by their logs."""
+    return F.greatest(a, b) + F.log1p(F.exp(-F.abs(a - b)))
 
-def _estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """Log of the Krichevsky-Trofimov probability of a sequence with these counts."""
-    out = np.zeros_like(zeros)
-    seen = zeros + ones > 0
-    a, b = zeros[seen], ones[seen]
-    out[seen] = _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - np.log(np.pi) - _log_gamma(a + b + 1.0)
-    return out
 
+def _shorter(context: Column, depth: int) -> Column:
+    """The context's last ``depth`` bytes."""
+    return context % F.lit(_BYTES**depth)
 
-def _byte_logs(ones: np.ndarray) -> np.ndarray:
-    """Log10 of each byte's probability from the probability of a one at each node."""
-    out = np.zeros((len(ones), _BYTES))
-    codes = np.arange(_BYTES)
-    node = np.ones(_BYTES, dtype=int)
-    for bit in range(7, -1, -1):
-        one = (codes >> bit) & 1
-        out += np.log10(np.where(one == 1, ones[:, node], 1.0 - ones[:, node]))
-        node = 2 * node + one
-    return out
 
+def _decisions(grams: DataFrame) -> DataFrame:
+    """A row per decision of each gram's byte: ``context, node, one`` beside the given columns.
 
-def train_tree(grams: np.ndarray, counts: np.ndarray, depth: int = DEPTH) -> np.ndarray:
-    """Log10 of the probability of the byte ending each gram, by gram (256 ** (depth + 1)).
+    Node 1 decides the first bit; node 2m + bit follows node m.
+    """
+    byte = (F.col("gram") % _BYTES).cast("int")
+    steps = [
+        F.struct(F.shiftright(byte + _BYTES, bit + 1).alias("node"), F.shiftright(byte, bit).bitwiseAND(F.lit(1)).alias("one"))
+        for bit in range(7, -1, -1)
+    ]
+    context = F.shiftright(F.col("gram"), 8).alias("context")
+    return grams.select("*", context, F.explode(F.array(*steps)).alias("s")).select(*grams.columns, "context", "s.node", "s.one")
 
-    Work and memory follow the contexts seen, of which there are at most 256 ** depth.
+
+def train_tree(grams: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
+    """``context, node, base, rest`` for each depth from 0 on, from ``gram, n`` of training.
+
+    ``base`` is what the contexts up to this one give to the probability of a one, ``rest`` the
+    weight they leave to longer contexts (none at the last depth). Each table is written once
+    on the way up and once on the way down.
     """
-    levels = []  # from the deepest: contexts, parent rows, nodes
-    keys, n = grams // _BYTES, counts.astype(float)
-    context, row = np.unique(keys, return_inverse=True)
-    table = np.zeros((len(context), _BYTES))
-    np.add.at(table, (row, grams % _BYTES), n)
-    weighted = None
-    for level in range(depth, -1, -1):
-        zeros, ones = _decisions(table)
-        own = _estimate(zeros, ones)
-        total = own if weighted is None else np.logaddexp(_LOG_HALF + own, _LOG_HALF + weighted)
-        stay = np.ones_like(own) if weighted is None else np.exp(_LOG_HALF + own - total)
-        levels.append((level, context, stay, (ones + 0.5) / (zeros + ones + 1.0)))
+    n = F.col("n").cast("double")
+    counted = _decisions(grams).groupBy("context", "node").agg(
+        F.sum(F.when(F.col("one") == 0, n).otherwise(0.0)).alias("zeros"),
+        F.sum(F.when(F.col("one") == 1, n).otherwise(0.0)).alias("ones"),
+    )
+    own = _estimate(F.col("zeros"), F.col("ones"))
+    up = durable(counted.select("*", own.alias("total"), F.lit(1.0).alias("stay")))
+    levels = [up]
+    for level in range(depth - 1, -1, -1):
+        parents = up.groupBy(_shorter(F.col("context"), level).alias("context"), "node").agg(
+            F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("total").alias("below")
+        ).withColumn("own", own + _LOG_HALF)
+        total = _log_sum(F.col("own"), F.col("below") + _LOG_HALF)
+        parents = parents.select("context", "node", "zeros", "ones", "own", total.alias("total"))
+        up = durable(parents.select("context", "node", "zeros", "ones", "total", F.exp(F.col("own") - F.col("total")).alias("stay")))
+        levels.insert(0, up)
+    one = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0)
+    down: list[DataFrame] = []
+    for level, table in enumerate(levels):
         if level:
-            # The parent of a context forgets its oldest byte.
-            parent, row = np.unique(context % _BYTES ** (level - 1), return_inverse=True)
-            weighted, up = np.zeros((len(parent), _BYTES)), np.zeros((len(parent), _BYTES))
-            np.add.at(weighted, row, total)
-            np.add.at(up, row, table)
-            context, table = parent, up
-    # From the root down: what is mixed so far, and the weight left for deeper contexts.
-    mixed, left = np.zeros((1, _BYTES)), np.ones((1, _BYTES))
-    above = np.zeros(1, dtype=np.int64)
-    out = None
-    for level, context, stay, ones in reversed(levels):
-        row = np.searchsorted(above, context % _BYTES ** max(level - 1, 0)) if level else np.zeros(len(context), int)
-        if out is not None:
-            out = np.tile(out, (_BYTES, 1))
-        base = mixed[row] + left[row] * stay * ones
-        rest = left[row] * (1.0 - stay)
-        # A decision or context below that was never seen says one half.
-        logs = _byte_logs(base + rest * 0.5)
-        if out is None:
-            out = np.full((1, _BYTES), 8 * np.log10(0.5), dtype=np.float32)
-        out[context] = logs
-        mixed, left, above = base, rest, context
-    return out.reshape(-1).astype(np.float32)
-
-
-def lm_scores(docs: DataFrame, depth: int = DEPTH, head_words: int = HEAD_WORDS) -> DataFrame:
+            above = down[-1].select(F.col("context").alias("_above"), F.col("node").alias("_node"), "base", "rest")
+            same = (_shorter(F.col("context"), level - 1) == F.col("_above")) & (F.col("node") == F.col("_node"))
+            mixed = table.join(above, same)
+        else:
+            mixed = table.select("*", F.lit(0.0).alias("base"), F.lit(1.0).alias("rest"))
+        base = F.col("base") + F.col("rest") * F.col("stay") * one
+        down.append(durable(mixed.select(
+            "context", "node", base.alias("base"), (F.col("rest") * (1.0 - F.col("stay"))).alias("rest")
+        )))
+    return down
+
+
+def gram_logs(grams: DataFrame, tree: list[DataFrame], seen: bool = False) -> DataFrame:
+    """``gram, log``: log10 of the probability of each gram's byte in its context.
+
+    ``grams`` holds each ``gram`` once. Those ``seen`` in training have all their decisions at
+    the last depth. For others a decision is taken where its longest known context is; what lies
+    below that, or a decision that was never seen, says one half.
+    """
+    rows = _decisions(grams.select("gram"))
+    probability = F.lit(None).cast("double")
+    for level in range(len(tree) - 1, -1 if not seen else len(tree) - 2, -1):
+        known = tree[level].select(
+            F.col("context").alias(f"context{level}"), F.col("node").alias(f"node{level}"),
+            (F.col("base") + F.col("rest") * 0.5).alias(f"p{level}"),
+        )
+        same = (_shorter(F.col("context"), level) == F.col(f"context{level}")) & (F.col("node") == F.col(f"node{level}"))
+        # Depths 0 and 1 have at most 257 * 255 rows, and every decision falls on few of them.
+        rows = rows.join(F.broadcast(known) if level < 2 else known, same, "left")
+        probability = F.coalesce(probability, F.col(f"p{level}"))
+    p = F.coalesce(probability, F.lit(0.5))
+    log = F.log10(F.when(F.col("one") == 1, p).otherwise(1.0 - p))
+    return rows.groupBy("gram").agg(F.sum(log).alias("log"))
+
+
+def _found(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each of ``values`` stands in the sorted ``keys``, and whether it does."""
+    if not len(keys):
+        return np.zeros(len(values), dtype=np.int64), np.zeros(len(values), dtype=bool)
+    at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
+    return at, keys[at] == values
+
+
+def _split(values: np.ndarray, of: np.ndarray, rows: int) -> list[np.ndarray]:
+    return np.split(values, np.cumsum(np.bincount(of, minlength=rows))[:-1])
+
+
+def lm_scores(
+    docs: DataFrame, depth: int = DEPTH, head_words: int = HEAD_WORDS, head_grams: int = HEAD_GRAMS
+) -> DataFrame:
     """Per row of ``docs`` (``doc_id, text``): word counts, the word model's and the tree's score.
 
     ``score`` is log10 of the tree's probability of the text, ``bits_per_byte`` its code
@@ -204,61 +243,77 @@ def lm_scores(docs: DataFrame, depth: int = DEPTH, head_words: int = HEAD_WORDS)
     token; repeated rows train and are scored each for itself; an empty training set leaves
     the tree without counts (one half per bit) and every word unknown.
     """
+    if not 0 <= depth <= MOST_DEPTH:
+        raise ValueError(f"a depth of {depth} does not fit a 64-bit number; at most {MOST_DEPTH}")
     spark = docs.sparkSession
     texts = docs.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.coalesce("text", F.lit("")).alias("text")
     )
     training = texts.where("NOT held_out")
     counted = durable(corpus_counts(training, depth))
-    # At most 256 ** (depth + 1) counts come to the driver.
-    grams = counted.where("kind = 'gram'").select("key", "n").toPandas()
-    tree = spark.sparkContext.broadcast(train_tree(grams["key"].to_numpy(np.int64), grams["n"].to_numpy(), depth))
+    grams = counted.where("kind = 'gram'").select(F.col("key").alias("gram"), "n")
+    tree = train_tree(grams, depth)
+    logs = durable(gram_logs(grams, tree, seen=True).join(grams, "gram"))
+    # At most ``head_grams`` and ``head_words`` rows of two numbers come to the driver.
+    often = logs.orderBy(F.col("n").desc(), "gram").limit(head_grams).select("gram", "log").toPandas().sort_values("gram")
     words = counted.where("kind = 'word'").select(F.col("key").alias("word"), "n")
     sums = words.agg(F.sum("n"), F.count(F.lit(1))).first()
     ends = training.count()
     n_tokens, n_types = (sums[0] or 0) + ends, sums[1] + (1 if ends else 0)
     head = words.orderBy(F.col("n").desc(), "word").limit(head_words).toPandas().sort_values("word")
-    lookup = spark.sparkContext.broadcast((head["word"].to_numpy(np.int64), head["n"].to_numpy(np.int64)))
+    lookup = spark.sparkContext.broadcast((
+        often["gram"].to_numpy(np.int64), often["log"].to_numpy(np.float64),
+        head["word"].to_numpy(np.int64), head["n"].to_numpy(np.int64),
+    ))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, (known, known_n) = tree.value, lookup.value
+        coded, logs, known, known_n = lookup.value
         for batch in batches:
             for rows in _slices(batch):
                 codes, starts = _framed(rows["text"].tolist(), depth)
+                places = np.diff(np.append(starts, len(codes))) - depth
                 grams = _grams(codes, depth)
-                logs = table[grams].astype(np.float64)
-                logs[~_text_places(starts, len(grams), depth)] = 0.0
+                grams = grams[_text_places(starts, len(grams), depth)]
+                owner = np.repeat(np.arange(len(rows)), places)
+                at, hit = _found(coded, grams)
+                code = np.bincount(owner[hit], logs[at[hit]], len(rows))
+                other = _split(grams[~hit], owner[~hit], len(rows))
                 hashes, sizes = word_hashes(rows["text"].tolist())
                 flat = hashes.view(np.int64)
                 of = np.repeat(np.arange(len(rows)), sizes)
-                at = np.minimum(np.searchsorted(known, flat), max(len(known) - 1, 0))
-                hit = known[at] == flat if len(known) else np.zeros(len(flat), bool)
+                at, hit = _found(known, flat)
                 gain = np.bincount(of[hit], np.log10(known_n[at[hit]] + 1.0), len(rows))
-                rest = np.split(flat[~hit], np.cumsum(np.bincount(of[~hit], minlength=len(rows)))[:-1])
                 yield pd.DataFrame({
                     "doc_id": rows["doc_id"].to_numpy(), "held_out": rows["held_out"].to_numpy(),
                     "n_tokens": sizes.astype(np.int64) + 1, "n_head": np.bincount(of[hit], minlength=len(rows)),
-                    "gain": gain, "rest": rest, "n_bytes": np.diff(np.append(starts, len(codes))) - depth,
-                    "score": np.add.reduceat(logs, starts),
+                    "gain": gain, "rest": _split(flat[~hit], of[~hit], len(rows)), "n_bytes": places,
+                    "code": code, "grams": other,
                 })
 
     scored = durable(
         # The id travels as text: a null would turn a column of numbers into floats.
         texts.select(F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text")
         .mapInPandas(score, """doc_id string, held_out boolean, n_tokens bigint, n_head bigint, gain double,
-            rest array<bigint>, n_bytes bigint, score double""")
+            rest array<bigint>, n_bytes bigint, code double, grams array<bigint>""")
         .withColumn("row", F.monotonically_increasing_id())
     )
     rare = (
         scored.select("row", F.explode("rest").alias("word")).join(words, "word")
         .groupBy("row").agg(F.count(F.lit(1)).alias("n_rare"), F.sum(F.log10(F.col("n") + 1.0)).alias("rare_gain"))
     )
+    asked = scored.select("row", F.explode("grams").alias("gram")).groupBy("row", "gram").agg(F.count(F.lit(1)).alias("times"))
+    distinct = scored.select(F.explode("grams").alias("gram")).distinct()
+    trained = durable(distinct.join(logs.select("gram", "log"), "gram", "left"))
+    unseen = gram_logs(trained.where("log IS NULL"), tree)
+    answers = durable(trained.where("log IS NOT NULL").unionByName(unseen))
+    deep = lookup_join(asked, answers, "gram", "inner").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("rare_code"))
     end_gain = float(np.log10(ends + 1.0))
     loss = float(np.log10(n_tokens + n_types + 1.0))
     n_known = F.col("n_head") + F.coalesce("n_rare", F.lit(0)) + F.lit(1 if ends else 0)
     base = F.col("gain") + F.coalesce("rare_gain", F.lit(0.0)) + F.lit(end_gain) - F.col("n_tokens") * F.lit(loss)
-    return scored.join(rare, "row", "left").select(
+    total = F.col("code") + F.coalesce("rare_code", F.lit(0.0))
+    return scored.join(rare, "row", "left").join(deep, "row", "left").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "held_out", "n_tokens", n_known.alias("n_known"),
-        F.lit(n_tokens).cast("bigint").alias("train_tokens"), base.alias("base_score"), "score",
-        (-F.col("score") / (F.col("n_bytes") * float(np.log10(2.0)))).alias("bits_per_byte"),
+        F.lit(n_tokens).cast("bigint").alias("train_tokens"), base.alias("base_score"), total.alias("score"),
+        (-total / (F.col("n_bytes") * float(np.log10(2.0)))).alias("bits_per_byte"),
     )

@@ -5,6 +5,7 @@ import io
 import itertools
 import json
 import math
+import zlib
 
 import numpy as np
 import pytest
@@ -258,38 +259,60 @@ def test_damaged_archives_are_noticed():
         list(warc.read_records(io.BytesIO(warc.gzip_member(record + b"more"))))
 
 
-def test_tree_equals_sequential_weighting():
-    """Predictions against the ratio of weighted probabilities, computed by recursion."""
-    training, context, byte = b"abracadabra abra", b"br", ord("a")
-
-    def weighted(bits: list[tuple[tuple[int, ...], int]], level: int) -> float:
-        ones = sum(bit for _, bit in bits)
-        zeros = len(bits) - ones
-        own = math.lgamma(zeros + 0.5) + math.lgamma(ones + 0.5) - math.log(math.pi) - math.lgamma(len(bits) + 1)
-        if level == 2:
-            return own
-        groups = {}
-        for past, bit in bits:
-            groups.setdefault(past[level], []).append((past, bit))
-        below = sum(weighted(group, level + 1) for group in groups.values())
-        return np.logaddexp(math.log(0.5) + own, math.log(0.5) + below)
-
-    codes, starts = lm_scoring._framed([training.decode()], 2)
-    grams = lm_scoring._grams(codes, 2)
-    keys, counts = np.unique(grams, return_counts=True)
-    table = lm_scoring.train_tree(keys, counts, 2)
-    log, node = 0.0, 1
-    for k in range(7, -1, -1):
-        bit = (byte >> k) & 1
-        seen = []
-        for gram in grams.tolist():
-            last = (gram & 255) | 256
-            if last >> (k + 1) == node:
-                seen.append((((gram >> 8) & 255, (gram >> 16) & 255), (last >> k) & 1))
-        now = seen + [((context[1], context[0]), bit)]
-        log += (weighted(now, 0) if now else 0.0) - (weighted(seen, 0) if seen else 0.0)
-        node = 2 * node + bit
-    assert table[(context[0] << 16) | (context[1] << 8) | byte] == pytest.approx(log / math.log(10), rel=1e-5)
+def _weighted(bits: list[tuple[bytes, int]], level: int, depth: int) -> float:
+    """Log of the weighted probability of decisions, each with the context before it."""
+    ones = sum(bit for _, bit in bits)
+    own = math.lgamma(len(bits) - ones + 0.5) + math.lgamma(ones + 0.5) - math.log(math.pi) - math.lgamma(len(bits) + 1)
+    if level == depth:
+        return own
+    groups = {}
+    for past, bit in bits:
+        groups.setdefault(past[-1 - level], []).append((past, bit))
+    below = sum(_weighted(group, level + 1, depth) for group in groups.values())
+    return np.logaddexp(math.log(0.5) + own, math.log(0.5) + below)
+
+
+def _code_length(training: list[str], text: str, depth: int) -> float:
+    """Log10 of the text's probability: ratios of weighted probabilities, by recursion."""
+
+    def framed(t: str) -> list[tuple[bytes, int]]:
+        frame = bytes(depth) + t.encode() + b"\xff"
+        return [(frame[i - depth : i], frame[i]) for i in range(depth, len(frame))]
+
+    nodes = {}
+    for t in training:
+        for past, byte in framed(t):
+            for k in range(7, -1, -1):
+                nodes.setdefault((byte | 256) >> (k + 1), []).append((past, (byte >> k) & 1))
+    log = 0.0
+    for past, byte in framed(text):
+        for k in range(7, -1, -1):
+            seen = nodes.get((byte | 256) >> (k + 1), [])
+            now = _weighted([*seen, (past, (byte >> k) & 1)], 0, depth)
+            log += now - (_weighted(seen, 0, depth) if seen else 0.0)
+    return log / math.log(10)
+
+
+@pytest.mark.parametrize("depth", [0, 2, 4])
+def test_tree_equals_sequential_weighting(spark, depth):
+    """Whole-text scores, of seen and unseen contexts, for any number of looked-up grams."""
+    texts = {1: "abracadabra abra", 2: "abra cabra", 3: None, 4: "zebra \u00e9", 5: "abracadabra cab", 6: "cab abra", 9: "bar"}
+    rows = [(i, t) for i, t in texts.items()] + [(1, texts[1])]
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
+    assert True in held.values() and False in held.values()
+    training = [t or "" for i, t in rows if not held[i]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expected = {i: _code_length(training, t or "", depth) for i, t in texts.items()}
+    for head in (0, 5, 1000):
+        found = lm_scoring.lm_scores(docs, depth, head_grams=head).collect()
+        assert len(found) == len(rows)
+        for row in found:
+            assert row.score == pytest.approx(expected[row.doc_id], rel=1e-9)
+
+
+def test_tree_depth_is_bounded(docs):
+    with pytest.raises(ValueError, match="64-bit"):
+        lm_scoring.lm_scores(docs, depth=lm_scoring.MOST_DEPTH + 1)
 
 
 def test_lm_scores(docs, crowded, nothing):
