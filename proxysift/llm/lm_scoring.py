@@ -43,6 +43,8 @@ HEAD_GRAMS = 1 << 20
 HELD_OUT = (7, 2)
 
 _BYTES = 256
+# Classes of counts, per doubling, among which frequent grams are told from rare ones.
+_CLASSES = 8
 _LOG_HALF = math.log(0.5)
 
 
@@ -221,6 +223,27 @@ def gram_logs(grams: DataFrame, tree: list[DataFrame], seen: bool = False) -> Da
     return rows.groupBy("gram").agg(F.sum(log).alias("log"))
 
 
+def _frequent(logs: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Grams, sorted, and logs of the most frequent rows of ``gram, log, n``, at most ``most``.
+
+    Counts are put into classes of like size, some hundreds at most; whole classes are taken
+    from the top as long as they fit, so nothing is sorted and one bounded table is fetched.
+    """
+    size = F.floor(F.log2("n") * _CLASSES)
+    taken, least = 0, None
+    for row in sorted(logs.groupBy(size.alias("size")).count().collect(), reverse=True):
+        taken += row["count"]
+        if taken > most:
+            break
+        least = row["size"]
+    if least is None:
+        return np.zeros(0, dtype=np.int64), np.zeros(0)
+    fetched = logs.where(size >= least).select("gram", "log").toArrow()
+    grams, values = fetched["gram"].to_numpy(), fetched["log"].to_numpy()
+    order = np.argsort(grams)
+    return grams[order], values[order]
+
+
 def _found(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each of ``values`` stands in the sorted ``keys``, and whether it does."""
     if not len(keys):
@@ -255,15 +278,14 @@ def lm_scores(
     tree = train_tree(grams, depth)
     logs = durable(gram_logs(grams, tree, seen=True).join(grams, "gram"))
     # At most ``head_grams`` and ``head_words`` rows of two numbers come to the driver.
-    often = logs.orderBy(F.col("n").desc(), "gram").limit(head_grams).select("gram", "log").toPandas().sort_values("gram")
+    often = _frequent(logs, head_grams)
     words = counted.where("kind = 'word'").select(F.col("key").alias("word"), "n")
     sums = words.agg(F.sum("n"), F.count(F.lit(1))).first()
     ends = training.count()
     n_tokens, n_types = (sums[0] or 0) + ends, sums[1] + (1 if ends else 0)
     head = words.orderBy(F.col("n").desc(), "word").limit(head_words).toPandas().sort_values("word")
     lookup = spark.sparkContext.broadcast((
-        often["gram"].to_numpy(np.int64), often["log"].to_numpy(np.float64),
-        head["word"].to_numpy(np.int64), head["n"].to_numpy(np.int64),
+        *often, head["word"].to_numpy(np.int64), head["n"].to_numpy(np.int64),
     ))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
