@@ -252,6 +252,39 @@ def _found(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, keys[at] == values
 
 
+class _Places:
+    """Places of numbers in an array of distinct ones, by open addressing: several times
+    faster than a binary search where each number of a text is looked up."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = keys
+        self.bits = max(2 * len(keys), 2).bit_length()
+        self.slots = np.full(1 << self.bits, -1, dtype=np.int32)
+        slot, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.slots[slot[left]] < 0]
+            self.slots[slot[free]] = free
+            left = left[self.slots[slot[left]] != left]
+            slot[left] = (slot[left] + 1) & (len(self.slots) - 1)
+
+    def _slot(self, values: np.ndarray) -> np.ndarray:
+        mixed = values.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each value stands, and whether it does."""
+        slot = self._slot(values)
+        at = self.slots[slot]
+        if not len(self.keys):
+            return at, at >= 0
+        left = np.flatnonzero((at >= 0) & (self.keys[at] != values))
+        while len(left):
+            slot[left] = (slot[left] + 1) & (len(self.slots) - 1)
+            at[left] = now = self.slots[slot[left]]
+            left = left[(now >= 0) & (self.keys[now] != values[left])]
+        return at, at >= 0
+
+
 def _split(values: np.ndarray, of: np.ndarray, rows: int) -> list[np.ndarray]:
     return np.split(values, np.cumsum(np.bincount(of, minlength=rows))[:-1])
 
@@ -290,6 +323,7 @@ def lm_scores(
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coded, logs, known, known_n = lookup.value
+        places_of = _Places(coded)
         for batch in batches:
             for rows in _slices(batch):
                 codes, starts = _framed(rows["text"].tolist(), depth)
@@ -297,7 +331,7 @@ def lm_scores(
                 grams = _grams(codes, depth)
                 grams = grams[_text_places(starts, len(grams), depth)]
                 owner = np.repeat(np.arange(len(rows)), places)
-                at, hit = _found(coded, grams)
+                at, hit = places_of.find(grams)
                 code = np.bincount(owner[hit], logs[at[hit]], len(rows))
                 other = _split(grams[~hit], owner[~hit], len(rows))
                 hashes, sizes = word_hashes(rows["text"].tolist())
