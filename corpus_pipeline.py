@@ -34,6 +34,14 @@ def _decided(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
     return held.join(chosen, same, how).select("held.*")
 
 
+def _unused(name: str, docs: DataFrame) -> str:
+    """``name``, made longer until no column of ``docs`` is called so."""
+    taken = {column.lower() for column in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
     tagger = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -54,8 +62,9 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the sentences of passages that stand in an earlier place."""
-    stripped = span_dedup.without_repeated_spans(docs, removed="_removed", total="_sentences")
-    size = F.when(F.col("_removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    removed, total = _unused("_removed", docs), _unused("_sentences", docs)
+    stripped = span_dedup.without_repeated_spans(docs, removed=removed, total=total)
+    size = F.when(F.col(removed) > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return stripped.withColumn("n_chars", size).select(*docs.columns)
 
 
