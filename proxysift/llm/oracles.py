@@ -28,6 +28,17 @@ m AS (SELECT page_id, h || p AS rule, v, row_number() OVER (PARTITION BY page_id
   FROM u, r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict
 FROM u LEFT JOIN (SELECT * FROM m WHERE k = 1) USING (page_id)""",
+    "op6_ngram_jaccard": rf"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}), '{_WORDS}') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, greatest(len(w) - 2, 2))]) AS shingle
+  FROM d WHERE len(w) > 0),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+meet AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS size FROM s a JOIN s b USING (shingle) GROUP BY ALL),
+links AS MATERIALIZED (SELECT x, y FROM meet JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  WHERE 100 * meet.size >= 85 * (a.size + b.size - meet.size)),
+reach(doc_id, root) AS (SELECT x, y FROM links UNION SELECT reach.doc_id, y FROM reach JOIN links ON root = x)
+SELECT doc_id, coalesce(any_value(n.size), 0) AS n_shingles, coalesce(min(root), doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach USING (doc_id) GROUP BY doc_id""",
     "op8_warc": """
 WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
 c AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS newest FROM p)
