@@ -144,7 +144,9 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
         F.posexplode(F.concat(itself, *[_prints(F.col("words"), n) for n in lengths])).alias("at", "p"),
     ).select(
         "row", F.when(F.col("at") == 0, F.col("doc")).alias("doc"), F.when(F.col("at") == 0, F.col("n_words")).alias("n_words"),
-        F.col("p.span").alias("span"), F.col("p.print").alias("print"), F.col("p.place").alias("place"),
+        # A span that no item has; the row's number deals these entries to all partitions.
+        F.when(F.col("at") == 0, -1).otherwise(F.col("p.span")).alias("span"),
+        F.when(F.col("at") == 0, F.col("row")).otherwise(F.col("p.print")).alias("print"), F.col("p.place").alias("place"),
         F.col("p.around").alias("around"), F.col("p.skip").alias("skip"),
     )
     joined = prints.join(F.broadcast(index) if fits_broadcast(index) else index, ["span", "print"], "left")
