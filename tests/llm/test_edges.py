@@ -108,6 +108,22 @@ def test_marginals_equal_enumeration():
         assert found[0] == pytest.approx(weights / total) and len(found[1]) == 0
 
 
+def test_toxic_offsets_are_places_of_the_text():
+    tagger = toxicity.Tagger(weights={"=idiot": 20.0})
+    for text in ("\u0130 an idiot", "an idiot \u0130\u0130 idiot", "\u03a3\u0130 IDIOT"):
+        (spans,) = toxicity.score_rows(tagger, ["1"], [text])["offsets"]
+        assert spans and all(text[s["start"] : s["stop"]].lower() == "idiot" for s in spans)
+
+
+def test_shuffled_fingerprints(spark, docs, monkeypatch):
+    """Without a broadcast the same rows, and no key without a value."""
+    items = spark.createDataFrame([(10, LONG), (5, "word")], "item_id bigint, text string")
+    expected = sorted(map(str, decontamination.contamination(docs, items).collect()))
+    monkeypatch.setattr(decontamination, "fits_broadcast", lambda index: False)
+    with_shuffle = decontamination.contamination(docs, items)
+    assert sorted(map(str, with_shuffle.collect())) == expected
+
+
 def test_decontamination(spark, docs, nothing):
     items = spark.createDataFrame(
         [(10, LONG), (2, "Five, SIX -- seven!"), (3, None), (4, "?!"), (5, "word"), (6, "nowhere to be found")], "item_id bigint, text string"
@@ -358,6 +374,13 @@ def test_pipeline(spark, tmp_path, docs):
     assert texts.count(LONG) <= 2 and len(corpus_pipeline.STAGES) == 5
 
 
+def test_pipeline_keeps_columns_of_any_name(spark, docs):
+    own = docs.withColumns({name: F.lit("own") for name in ("_removed", "_Sentences", "_sentences_")})
+    kept = dict(corpus_pipeline.STAGES)["substring_dedup"](spark, own, "")
+    assert kept.columns == own.columns
+    assert {(r._removed, r._Sentences, r._sentences_) for r in kept.collect()} == {("own", "own", "own")}
+
+
 def test_pipeline_stages_decide(spark):
     """Stage by stage on given tables: what goes is what the operators find, nothing else."""
     sf = "/root/testdata/sf0.001"
