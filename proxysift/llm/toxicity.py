@@ -2,9 +2,12 @@
 
 Only documents are labelled, so tokens are first labelled from them: in a toxic document a
 token is toxic if its word or the beginning of its word is tied to toxic documents by a wide
-margin. A chain with two states is then trained on these token labels; its forward-backward
-marginals say how likely each token is toxic in its sentence, and a small logistic model
-turns their sum and maximum into a score of the document.
+margin. A chain with two states is then trained on these token labels. Its features are all
+words and beginnings of some support and the words up to two places to either side; a part of
+the labelled words is shown to the chain without features of their own, so that the words
+around must tell. What the chain then finds almost sure in toxic documents is labelled too,
+and it is trained on. Its forward-backward marginals say how likely each token is toxic where
+it stands, and a small logistic model turns their sum and maximum into a score of the document.
 
 Model and lexicon are fitted on a bounded sample of the labelled training rows
 (``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN``, drawn by a hash of the id); every document is scored.
@@ -29,9 +32,18 @@ SAMPLE_CLEAN = 3000
 # The chain reads sampled texts in pieces of at most this many tokens.
 CHAIN_TOKENS = 1500
 CHAIN_STEPS = 60
+# Steps after the chain has labelled tokens itself, and how sure of them it must be.
+MORE_STEPS = 30
+SURE = 0.9
 
 PREFIXES = (4, 5)
+# Places of the words around a token that are its features.
+AROUND = (-2, -1, 1, 2)
 LEAST_SUPPORT = 4
+# A word outside the lexicon is a feature of its own from so many sampled texts on.
+WORD_SUPPORT = 20
+# One of so many (text, labelled word) is shown without features of its own.
+HIDDEN = 4
 LEAST_ODDS = 1.5
 HELD_OUT = (5, 0)
 LIKELY = 0.5
@@ -58,6 +70,33 @@ def _features(token: str) -> list[str]:
     return ["=" + token] + [f"{n}{token[:n]}" for n in PREFIXES if len(token) >= n]
 
 
+def _beside(place: int, token: str) -> str:
+    """The feature of a place that has the token so many places after it."""
+    return f"{place:+d}{token}"
+
+
+def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All rows in one, each followed by empty places (0) so that none sees the next; their beginnings."""
+    gap = [0] * max(AROUND)
+    starts = np.cumsum([0] + [len(row) + len(gap) for row in rows])[:-1]
+    return np.array([number for row in rows for number in (*row, *gap)], dtype=int), starts
+
+
+def _emissions(own: np.ndarray, words: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Log odds of the places of ``_flat`` rows: of the word itself and of the words around.
+
+    ``table`` has a row per word: its own weight, then the one it has at each place of ``AROUND``.
+    """
+    found = table[own, 0]
+    for column, place in enumerate(AROUND, 1):
+        weight = table[words, column]
+        if place < 0:
+            found[-place:] += weight[:place]
+        else:
+            found[:-place] += weight[place:]
+    return found
+
+
 @dataclass
 class Tagger:
     """Weights of the chain and of the document model."""
@@ -67,17 +106,35 @@ class Tagger:
     # log weights of (clean, toxic), (toxic, clean), (toxic, toxic); (clean, clean) is 0
     steps: np.ndarray = field(default_factory=lambda: np.zeros(3))
     document: np.ndarray = field(default_factory=lambda: np.array([-4.0, 1.0, 4.0]))
-    cache: dict[str, float] = field(default_factory=dict, repr=False)
-
-    def emission(self, token: str) -> float:
-        """Log odds that the token itself gives to the toxic state."""
-        value = self.cache.get(token)
-        if value is None:
-            value = self.bias + sum(self.weights.get(f, 0.0) for f in _features(token))
-            if len(self.cache) >= _CACHE:
-                self.cache.clear()
-            self.cache[token] = value
-        return value
+    # Words met and their rows in ``table``; row 0 is that of all words without weights.
+    rows: dict[str, int] = field(default_factory=dict, repr=False)
+    table: np.ndarray = field(default_factory=lambda: np.zeros((1, 1 + len(AROUND))), repr=False)
+    used: int = field(default=1, repr=False)
+
+    def forget(self) -> None:
+        self.rows, self.table, self.used = {}, np.zeros((1, 1 + len(AROUND))), 1
+
+    def _row(self, token: str) -> int:
+        get = self.weights.get
+        values = [sum(get(f, 0.0) for f in _features(token)), *(get(_beside(place, token), 0.0) for place in AROUND)]
+        row = 0
+        if any(values):
+            row = self.used
+            if row == len(self.table):
+                self.table = np.concatenate([self.table, np.zeros((max(row, 256), self.table.shape[1]))])
+            self.table[row] = values
+            self.used += 1
+        self.rows[token] = row
+        return row
+
+    def emissions(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Log odds that the words of each text give to the toxic state, place by place."""
+        if len(self.rows) > _CACHE:
+            self.forget()
+        known, learn = self.rows, self._row
+        numbers, starts = _flat([[known[w] if w in known else learn(w) for w in words] for words in texts])
+        found = self.bias + _emissions(numbers, numbers, self.table)
+        return [found[at : at + len(words)] for at, words in zip(starts, texts, strict=True)]
 
 
 def _blocks(lengths: np.ndarray, most: int = 512, cells: int = 300_000) -> Iterator[np.ndarray]:
@@ -129,15 +186,21 @@ def marginals(rows: list[np.ndarray], steps: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _lexicon(texts: list[list[str]], toxic: np.ndarray) -> dict[str, float]:
+def _groups(texts: list[list[str]]) -> list[int]:
+    """A number per text, the same for copies and near copies as far as one min-hash of word pairs tells them."""
+    return [
+        min((zlib.crc32(f"{a} {b}".encode()) for a, b in zip(words, words[1:], strict=False)), default=zlib.crc32(" ".join(words).encode()))
+        for words in texts
+    ]
+
+
+def _lexicon(texts: list[list[str]], toxic: np.ndarray, alike: list[int]) -> dict[str, float]:
     """Features tied to toxic documents: smoothed log odds less twice their error.
 
-    Copies and near copies count once as far as one min-hash of word pairs tells them.
+    Texts of one group (``alike``) count once.
     """
-    groups: tuple[dict, dict] = ({}, {})  # min-hash -> places of texts
-    for i, (words, label) in enumerate(zip(texts, toxic, strict=True)):
-        pairs = (zlib.crc32(f"{a} {b}".encode()) for a, b in zip(words, words[1:], strict=False))
-        group = min(pairs, default=zlib.crc32(" ".join(words).encode()))
+    groups: tuple[dict, dict] = ({}, {})  # group -> places of texts
+    for i, (group, label) in enumerate(zip(alike, toxic, strict=True)):
         groups[label].setdefault(group, []).append(i)
 
     def counted(label: int, known: Counter | None) -> Counter:
@@ -161,6 +224,24 @@ def _lexicon(texts: list[list[str]], toxic: np.ndarray) -> dict[str, float]:
     return found
 
 
+def _supported(texts: list[list[str]], sure: list[np.ndarray], alike: list[int]) -> set[str]:
+    """Words and beginnings of many groups of texts, and words that stand beside labelled tokens of several."""
+    own: Counter = Counter()
+    last: dict[str, int] = {}
+    beside: dict[str, set[int]] = {}
+    for i in sorted(range(len(texts)), key=alike.__getitem__):
+        words, group = texts[i], alike[i]
+        for feature in {f for w in set(words) for f in _features(w)}:
+            if last.get(feature) != group:
+                last[feature] = group
+                own[feature] += 1
+        for at in np.flatnonzero(sure[i]):
+            for place in AROUND:
+                if 0 <= at + place < len(words):
+                    beside.setdefault(_beside(place, words[at + place]), set()).add(group)
+    return {f for f, n in own.items() if n >= WORD_SUPPORT} | {f for f, seen in beside.items() if len(seen) >= LEAST_SUPPORT}
+
+
 class _Adam:
     def __init__(self, size: int, rate: float) -> None:
         self.m, self.v, self.n, self.rate = np.zeros(size), np.zeros(size), 0, rate
@@ -172,55 +253,88 @@ class _Adam:
         return self.rate * (self.m / (1 - 0.9**self.n)) / (np.sqrt(self.v / (1 - 0.99**self.n)) + 1e-8)
 
 
-def _fit_chain(texts: list[list[str]], labels: list[np.ndarray], lexicon: dict[str, float]) -> tuple[dict[str, float], float, np.ndarray]:
-    """Emission and transition weights that make the token labels likely (with a small penalty)."""
-    names = sorted(lexicon)
-    number = {name: i for i, name in enumerate(names)}
-    kinds: dict[tuple[int, ...], int] = {(): 0}  # sets of known features
-    rows = [
-        np.array([kinds.setdefault(tuple(number[f] for f in _features(w) if f in number), len(kinds)) for w in words], dtype=int)
-        for words in texts
-    ]
-    member = np.zeros((len(kinds), len(names)))
-    for features, kind in kinds.items():
-        member[kind, list(features)] = 1.0
-    lengths = np.array([len(r) for r in rows])
-    total = max(int(lengths.sum()), 1)
-    weights, rest = np.full(len(names), 1.0), np.array([-4.0, 0.0, 0.0, 0.0])
-    # Expected minus observed counts drive both groups of weights.
-    observed, pairs = np.zeros(len(kinds)), np.zeros(3)
-    for row, label in zip(rows, labels, strict=True):
-        observed += np.bincount(row, label, len(kinds))
-        a, b = label[:-1], label[1:]
-        pairs += [np.sum((1 - a) * b), np.sum(a * (1 - b)), np.sum(a * b)]
-    adam_w, adam_r = _Adam(len(names), 0.3), _Adam(4, 0.1)
-    blocks = []
-    for block in _blocks(lengths):
-        longest = int(lengths[block].max())
-        if longest:
-            padded = np.zeros((len(block), longest), dtype=int)
-            for i, row in enumerate(block):
-                padded[i, : lengths[row]] = rows[row]
-            blocks.append((padded, np.arange(longest) < lengths[block][:, None], lengths[block]))
-    for _ in range(CHAIN_STEPS):
-        emission = rest[0] + member @ weights
-        expected, moves = np.zeros(len(kinds)), np.zeros(3)
-        for padded, inside, sizes in blocks:
-            e = np.where(inside, emission[padded], -30.0)
-            forward, backward = messages(e, sizes, rest[1:])
+class _Chain:
+    """Weights of the features and of the steps, fitted to token labels of pieces of text.
+
+    ``hidden`` marks tokens that are read without features of their own while fitting.
+    """
+
+    def __init__(self, texts: list[list[str]], hidden: list[np.ndarray], lexicon: Iterable[str], others: Iterable[str]) -> None:
+        self.names = [""] + sorted(lexicon)
+        self.weights = np.array([0.0] + [1.0] * (len(self.names) - 1))
+        self.names += sorted(set(others) - set(self.names))
+        self.weights = np.concatenate([self.weights, np.zeros(len(self.names) - len(self.weights))])
+        number = {name: i for i, name in enumerate(self.names)}
+        kinds = {"": 0}
+        rows = [[kinds.setdefault(w, len(kinds)) for w in words] for words in texts]
+        # The features of each word by number, 0 for none: its own and those it gives to places around.
+        self.own = np.zeros((len(kinds), 1 + len(PREFIXES)), dtype=int)
+        self.beside = np.zeros((len(kinds), len(AROUND)), dtype=int)
+        for word, kind in kinds.items():
+            if kind:
+                for column, feature in enumerate(_features(word)):
+                    self.own[kind, column] = number.get(feature, 0)
+                self.beside[kind] = [number.get(_beside(place, word), 0) for place in AROUND]
+        self.rest = np.array([-4.0, 0.0, 0.0, 0.0])
+        self.adam_w, self.adam_r = _Adam(len(self.names), 0.3), _Adam(4, 0.1)
+        self.words, self.starts = _flat(rows)
+        self.lengths = np.array([len(row) for row in rows], dtype=int)
+        self.seen = self.words.copy()
+        for at, marks in zip(self.starts, hidden, strict=True):
+            self.seen[at + np.flatnonzero(marks)] = 0
+        self.blocks = []
+        for block in _blocks(self.lengths):
+            longest = int(self.lengths[block].max())
+            if longest:
+                inside = np.arange(longest) < self.lengths[block][:, None]
+                self.blocks.append((np.where(inside, self.starts[block][:, None] + np.arange(longest), 0), inside, self.lengths[block]))
+
+    def _table(self) -> np.ndarray:
+        return np.concatenate([self.weights[self.own].sum(axis=1)[:, None], self.weights[self.beside]], axis=1)
+
+    def _passes(self, words: np.ndarray) -> Iterator[tuple]:
+        """Forward and backward messages of each block, with its emissions."""
+        emission = self.rest[0] + _emissions(words, self.words, self._table())
+        for places, inside, sizes in self.blocks:
+            e = np.where(inside, emission[places], -30.0)
+            yield places, inside, e, *messages(e, sizes, self.rest[1:])
+
+    def marginals(self) -> list[np.ndarray]:
+        """Probability of the toxic state at each token, nothing hidden."""
+        found = np.zeros(len(self.words))
+        for places, inside, _, forward, backward in self._passes(self.words):
             odds = forward * backward
-            p = np.where(inside, odds / (1.0 + odds), 0.0)
-            expected += np.bincount(padded.ravel(), p.ravel(), len(kinds))
-            w = np.exp(np.clip(e[:, 1:], -30, 30)) * backward[:, 1:]
-            m = forward[:, :-1]
-            up, down, stay = np.exp(rest[1:])
-            move = np.stack([up * w, down * m, stay * m * w])
-            move = np.where(inside[:, 1:], move / (1.0 + move.sum(axis=0)), 0.0)
-            moves += move.sum(axis=(1, 2))
-        gap = observed - expected
-        weights = weights + adam_w.step((member.T @ gap) / total * 1000 - 0.01 * weights)
-        rest = rest + adam_r.step(np.concatenate([[gap.sum()], pairs - moves]) / total * 1000 - 0.01 * rest)
-    return dict(zip(names, weights.tolist(), strict=True)), float(rest[0]), rest[1:]
+            found[places[inside]] = (odds / (1.0 + odds))[inside]
+        return [found[at : at + size] for at, size in zip(self.starts, self.lengths, strict=True)]
+
+    def fit(self, labels: list[np.ndarray], steps: int) -> None:
+        """Gradient steps that make the labels likely (with a small penalty): observed minus expected counts."""
+        total = max(int(self.lengths.sum()), 1)
+        observed, pairs = np.zeros(len(self.words)), np.zeros(3)
+        for at, label in zip(self.starts, labels, strict=True):
+            observed[at : at + len(label)] = label
+            a, b = label[:-1], label[1:]
+            pairs += [np.sum((1 - a) * b), np.sum(a * (1 - b)), np.sum(a * b)]
+        kinds = len(self.own)
+        for _ in range(steps):
+            gap, moves = observed.copy(), np.zeros(3)
+            up, down, stay = np.exp(self.rest[1:])
+            for places, inside, e, forward, backward in self._passes(self.seen):
+                odds = forward * backward
+                gap[places[inside]] -= (odds / (1.0 + odds))[inside]
+                w = np.exp(np.clip(e[:, 1:], -30, 30)) * backward[:, 1:]
+                m = forward[:, :-1]
+                move = np.stack([up * w, down * m, stay * m * w])
+                move = np.where(inside[:, 1:], move / (1.0 + move.sum(axis=0)), 0.0)
+                moves += move.sum(axis=(1, 2))
+            size = len(self.names)
+            gradient = np.bincount(self.own.ravel(), np.repeat(np.bincount(self.seen, gap, kinds), self.own.shape[1]), size)
+            for column, place in enumerate(AROUND):
+                words, given = (self.words[:place], gap[-place:]) if place < 0 else (self.words[place:], gap[:-place])
+                gradient += np.bincount(self.beside[:, column], np.bincount(words, given, kinds), size)
+            self.weights = self.weights + self.adam_w.step(gradient / total * 1000 - 0.01 * self.weights)
+            self.weights[0] = 0.0
+            self.rest = self.rest + self.adam_r.step(np.concatenate([[gap.sum()], pairs - moves]) / total * 1000 - 0.01 * self.rest)
 
 
 def _summary(p: np.ndarray) -> tuple[float, float, float]:
@@ -244,20 +358,31 @@ def fit(rows: Iterable[tuple[str | None, int]]) -> Tagger:
     texts, toxic = [tokens(text) for text, _ in unique], np.array([label for _, label in unique], dtype=int)
     if not 0 < toxic.sum() < len(toxic):
         return Tagger()
-    lexicon = _lexicon(texts, toxic)
+    alike = _groups(texts)
+    lexicon = _lexicon(texts, toxic, alike)
     sure = [
         np.array([float(label == 1 and any(f in lexicon for f in _features(w))) for w in words])
         for words, label in zip(texts, toxic, strict=True)
     ]
-    pieces = [(i, at) for i, words in enumerate(texts) for at in range(0, len(words), CHAIN_TOKENS)]
-    weights, bias, steps = _fit_chain(
-        [texts[i][at : at + CHAIN_TOKENS] for i, at in pieces], [sure[i][at : at + CHAIN_TOKENS] for i, at in pieces], lexicon
+    hidden = [
+        np.array([label > 0 and zlib.crc32(f"{group} {w}".encode()) % HIDDEN == 0 for w, label in zip(words, labels, strict=True)], dtype=bool)
+        for group, words, labels in zip(alike, texts, sure, strict=True)
+    ]
+    pieces = [(i, slice(at, at + CHAIN_TOKENS)) for i, words in enumerate(texts) for at in range(0, len(words), CHAIN_TOKENS)]
+    chain = _Chain(
+        [texts[i][part] for i, part in pieces], [hidden[i][part] for i, part in pieces], lexicon, _supported(texts, sure, alike)
     )
-    tagger = Tagger(weights, bias, steps)
-    known = [np.array([tagger.emission(w) for w in words]) for words in texts]
-    x = np.array([_summary(p) for p in marginals(known, steps)])
+    labels = [sure[i][part] for i, part in pieces]
+    chain.fit(labels, CHAIN_STEPS)
+    for at, ((i, _), p) in enumerate(zip(pieces, chain.marginals(), strict=True)):
+        if toxic[i]:
+            labels[at] = np.maximum(labels[at], p >= SURE)
+    chain.fit(labels, MORE_STEPS)
+    weights = {name: weight for name, weight in zip(chain.names[1:], chain.weights[1:].tolist(), strict=True) if weight}
+    tagger = Tagger(weights, float(chain.rest[0]), chain.rest[1:])
+    x = np.array([_summary(p) for p in marginals(tagger.emissions(texts), tagger.steps)])
     tagger.document = _fit_document(x, toxic.astype(float))
-    tagger.cache.clear()
+    tagger.forget()
     return tagger
 
 
@@ -292,8 +417,7 @@ _SCORED = "id string, score double, n_toxic int, offsets array<struct<start:int,
 def score_rows(tagger: Tagger, ids: list, texts: list[str | None]) -> pd.DataFrame:
     """Score, number and offsets (code points of the text) of likely toxic tokens."""
     words = [tokens(text or "") for text in texts]
-    emission = tagger.emission
-    found = marginals([np.array([emission(w) for w in row]) for row in words], tagger.steps)
+    found = marginals(tagger.emissions(words), tagger.steps)
     x = np.array([_summary(p) for p in found]).reshape(len(found), 3)
     scores = 1.0 / (1.0 + np.exp(-np.clip(x @ tagger.document, -30, 30)))
     offsets = []
