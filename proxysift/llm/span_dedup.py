@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proxysift.llm.common import row_hash
+from proxysift.llm.common import join_spread, row_hash
 from proxysift.session import durable
 
 # A run is full with this many sentences and words, or with this many words at all.
@@ -119,7 +119,8 @@ def repeated_spans(
     """``id, mark, spans``: for each document its spans of sentences that are not the first.
 
     Runs are combined per task before their first place is sought, so a passage in a third of
-    all documents is no hot key there; in the join back adaptive execution splits it.
+    all documents is no hot key there; in the join back the first places of such passages are
+    broadcast, and their rows are not shuffled.
     """
     texts = docs.where("text IS NOT NULL").select(
         F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), row_hash(F.col("text")).alias("mark"), "text"
@@ -128,8 +129,9 @@ def repeated_spans(
         texts.mapInPandas(_emit_runs((sentences, words, long_words)), "id bigint, mark bigint, hash bigint, start int, stop int")
     )
     place = F.struct("id", "mark", "start")
-    repeated = runs.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last")
-    later = runs.join(repeated.select("hash", "first"), "hash").where(place != F.col("first"))
+    found = runs.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("n"))
+    repeated = durable(found.where("first != last").drop("last"))
+    later = join_spread(runs, repeated, "hash").where(place != F.col("first"))
     # A document has at most two runs per sentence.
     return later.groupBy("id", "mark").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
