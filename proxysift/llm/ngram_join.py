@@ -31,6 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from proxysift.llm.common import join_spread
 from proxysift.llm.components import connected_components
 from proxysift.session import durable
 
@@ -44,6 +45,8 @@ _SLICE = 4_000_000
 _FLUSH = 4_000_000
 _HASH_BITS = 57
 _HEAP = 256
+# Cells of so many nodes are looked through by root first.
+_LARGE = 64
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, dtype=bool)
@@ -276,21 +279,32 @@ def _search(cell: np.ndarray, crossing: bool, percent: int, most: int | None) ->
     A pair needs an overlap of which this list gives one gram; if it is their first common
     gram, only what follows it in both sets can give more. A similar pair passes in the cell
     of its first common gram. With ``most`` each node names only the others whose place is
-    the earliest.
+    the earliest. Where one root holds most of a large cell, its nodes look at those of other
+    roots alone.
     """
     order = np.lexsort((cell["node"], cell["size"]))
     node, size, place, root, block = (cell[name][order].astype(np.int64) for name in ("node", "size", "place", "root", "block"))
     left = size - place
     low = np.searchsorted(size, -((-percent * size) // 100))
+    top, apart = None, np.zeros(0, np.int64)
+    if len(node) >= _LARGE:
+        roots, counts = np.unique(root, return_counts=True)
+        if len(roots) == 1:
+            return
+        if 2 * counts.max() > len(node):
+            top = roots[counts.argmax()]
+            apart = np.flatnonzero(root != top)
     for i in range(1, len(node)):
-        j = slice(low[i], i)
         if low[i] == i:
             continue
+        j = slice(low[i], i)
+        if top is not None and root[i] == top:
+            j = apart[np.searchsorted(apart, low[i]) : np.searchsorted(apart, i)]
         need = required(size[i], size[j], percent)
         good = (left[i] >= need) & (left[j] >= need) & (root[j] != root[i])
         if crossing:
             good &= block[j] != block[i]
-        others = np.flatnonzero(good) + low[i]
+        others = np.flatnonzero(good) + low[i] if isinstance(j, slice) else j[good]
         if most is not None and len(others) > most:
             others = others[np.argsort(place[others], kind="stable")[:most]]
         for other in others.tolist():
@@ -345,9 +359,11 @@ def _candidates(postings: DataFrame, roots: DataFrame | None, percent: int, most
     """Distinct pairs ``a, b`` of nodes with a common list that may be similar."""
     rows = postings if roots is None else postings.join(roots, "node", "left")
     rows = rows.withColumn("root", F.col("node") if roots is None else F.coalesce("root", "node"))
-    long = postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
-    blocks = F.coalesce(F.ceil(F.col("n") / BLOCK), F.lit(1)).cast("int")
-    rows = rows.join(long, "key", "left").withColumn("blocks", blocks)
+    long = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    long = long.where(F.col("n") > BLOCK)
+    # In a long list whose nodes are one component already there is no pair to find.
+    blocks = F.when(F.col("low") == F.col("high"), 0).otherwise(F.ceil(F.col("n") / BLOCK))
+    rows = rows.join(long, "key", "left").withColumn("blocks", F.coalesce(blocks, F.lit(1)).cast("int")).where("blocks > 0")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = rows.select(
@@ -501,8 +517,8 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         F.when(F.col("size") > 0, F.coalesce("root", "node")).alias("root"),
     )
     placed = durable(ids.join(facts, "row"))
-    least = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return placed.join(least, "root", "left").select(
+    least = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    return join_spread(placed, durable(least), "root", "left").select(
         "doc_id", "mark", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
     )
 
