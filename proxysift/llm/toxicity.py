@@ -79,7 +79,7 @@ def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """All rows in one, each followed by empty places (0) so that none sees the next; their beginnings."""
     gap = [0] * max(AROUND)
     starts = np.cumsum([0] + [len(row) + len(gap) for row in rows])[:-1]
-    return np.array([number for row in rows for number in (*row, *gap)], dtype=int), starts
+    return np.fromiter((number for row in rows for number in (*row, *gap)), dtype=np.int32), starts
 
 
 def _emissions(own: np.ndarray, words: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -226,20 +226,30 @@ def _lexicon(texts: list[list[str]], toxic: np.ndarray, alike: list[int]) -> dic
 
 def _supported(texts: list[list[str]], sure: list[np.ndarray], alike: list[int]) -> set[str]:
     """Words and beginnings of many groups of texts, and words that stand beside labelled tokens of several."""
-    own: Counter = Counter()
-    last: dict[str, int] = {}
+    kinds: dict[str, int] = {}
+    members: dict[int, set[int]] = {}
+    for words, group in zip(texts, alike, strict=True):
+        members.setdefault(group, set()).update(kinds.setdefault(w, len(kinds)) for w in set(words))
+    held = [np.fromiter(numbers, np.int32, len(numbers)) for numbers in members.values()]
+    members.clear()
+    found: set[str] = set()
+    for template in range(1 + len(PREFIXES)):
+        # A feature of each word, numbered; words too short for it share number 0 and are left out.
+        names: dict[str, int] = {"": 0}
+        named = np.fromiter(
+            (names.setdefault(f[template], len(names)) if template < len(f) else 0 for f in map(_features, kinds)), np.int32, len(kinds)
+        )
+        support = np.zeros(len(names), np.int32)
+        for numbers in held:
+            support[np.unique(named[numbers])] += 1
+        found.update(name for name, number in names.items() if number and support[number] >= WORD_SUPPORT)
     beside: dict[str, set[int]] = {}
-    for i in sorted(range(len(texts)), key=alike.__getitem__):
-        words, group = texts[i], alike[i]
-        for feature in {f for w in set(words) for f in _features(w)}:
-            if last.get(feature) != group:
-                last[feature] = group
-                own[feature] += 1
-        for at in np.flatnonzero(sure[i]):
+    for words, marks, group in zip(texts, sure, alike, strict=True):
+        for at in np.flatnonzero(marks):
             for place in AROUND:
                 if 0 <= at + place < len(words):
                     beside.setdefault(_beside(place, words[at + place]), set()).add(group)
-    return {f for f, n in own.items() if n >= WORD_SUPPORT} | {f for f, seen in beside.items() if len(seen) >= LEAST_SUPPORT}
+    return found | {f for f, seen in beside.items() if len(seen) >= LEAST_SUPPORT}
 
 
 class _Adam:
@@ -266,10 +276,10 @@ class _Chain:
         self.weights = np.concatenate([self.weights, np.zeros(len(self.names) - len(self.weights))])
         number = {name: i for i, name in enumerate(self.names)}
         kinds = {"": 0}
-        rows = [[kinds.setdefault(w, len(kinds)) for w in words] for words in texts]
+        rows = [np.fromiter((kinds.setdefault(w, len(kinds)) for w in words), np.int32, len(words)) for words in texts]
         # The features of each word by number, 0 for none: its own and those it gives to places around.
-        self.own = np.zeros((len(kinds), 1 + len(PREFIXES)), dtype=int)
-        self.beside = np.zeros((len(kinds), len(AROUND)), dtype=int)
+        self.own = np.zeros((len(kinds), 1 + len(PREFIXES)), dtype=np.int32)
+        self.beside = np.zeros((len(kinds), len(AROUND)), dtype=np.int32)
         for word, kind in kinds.items():
             if kind:
                 for column, feature in enumerate(_features(word)):
@@ -277,64 +287,71 @@ class _Chain:
                 self.beside[kind] = [number.get(_beside(place, word), 0) for place in AROUND]
         self.rest = np.array([-4.0, 0.0, 0.0, 0.0])
         self.adam_w, self.adam_r = _Adam(len(self.names), 0.3), _Adam(4, 0.1)
-        self.words, self.starts = _flat(rows)
         self.lengths = np.array([len(row) for row in rows], dtype=int)
-        self.seen = self.words.copy()
-        for at, marks in zip(self.starts, hidden, strict=True):
-            self.seen[at + np.flatnonzero(marks)] = 0
+        # Words of each block in padded rows, what is seen of them while fitting, and which places are filled.
         self.blocks = []
         for block in _blocks(self.lengths):
             longest = int(self.lengths[block].max())
             if longest:
-                inside = np.arange(longest) < self.lengths[block][:, None]
-                self.blocks.append((np.where(inside, self.starts[block][:, None] + np.arange(longest), 0), inside, self.lengths[block]))
-
-    def _table(self) -> np.ndarray:
-        return np.concatenate([self.weights[self.own].sum(axis=1)[:, None], self.weights[self.beside]], axis=1)
-
-    def _passes(self, words: np.ndarray) -> Iterator[tuple]:
-        """Forward and backward messages of each block, with its emissions."""
-        emission = self.rest[0] + _emissions(words, self.words, self._table())
-        for places, inside, sizes in self.blocks:
-            e = np.where(inside, emission[places], -30.0)
-            yield places, inside, e, *messages(e, sizes, self.rest[1:])
-
-    def marginals(self) -> list[np.ndarray]:
-        """Probability of the toxic state at each token, nothing hidden."""
-        found = np.zeros(len(self.words))
-        for places, inside, _, forward, backward in self._passes(self.words):
+                words, shown = np.zeros((len(block), longest), np.int32), np.ones((len(block), longest), bool)
+                for i, row in enumerate(block):
+                    words[i, : self.lengths[row]] = rows[row]
+                    shown[i, : self.lengths[row]] = ~hidden[row]
+                self.blocks.append((block, words, shown, np.arange(longest) < self.lengths[block][:, None]))
+
+    def _passes(self, hide: bool) -> Iterator[tuple]:
+        """Emissions and forward and backward messages of each block."""
+        table = np.concatenate([self.weights[self.own].sum(axis=1)[:, None], self.weights[self.beside]], axis=1)
+        for block, words, shown, inside in self.blocks:
+            e = self.rest[0] + table[np.where(shown, words, 0) if hide else words, 0]
+            for column, place in enumerate(AROUND, 1):
+                if place < 0:
+                    e[:, -place:] += table[words[:, :place], column]
+                else:
+                    e[:, :-place] += table[words[:, place:], column]
+            e[~inside] = -30.0
+            yield block, words, shown, inside, e, *messages(e, self.lengths[block], self.rest[1:])
+
+    def marginals(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Each piece and the probability of the toxic state at its tokens, nothing hidden."""
+        for block, _, _, _, _, forward, backward in self._passes(False):
             odds = forward * backward
-            found[places[inside]] = (odds / (1.0 + odds))[inside]
-        return [found[at : at + size] for at, size in zip(self.starts, self.lengths, strict=True)]
+            for i, row in enumerate(block.tolist()):
+                o = odds[i, : self.lengths[row]]
+                yield row, o / (1.0 + o)
 
     def fit(self, labels: list[np.ndarray], steps: int) -> None:
         """Gradient steps that make the labels likely (with a small penalty): observed minus expected counts."""
         total = max(int(self.lengths.sum()), 1)
-        observed, pairs = np.zeros(len(self.words)), np.zeros(3)
-        for at, label in zip(self.starts, labels, strict=True):
-            observed[at : at + len(label)] = label
+        pairs = np.zeros(3)
+        for label in labels:
             a, b = label[:-1], label[1:]
             pairs += [np.sum((1 - a) * b), np.sum(a * (1 - b)), np.sum(a * b)]
-        kinds = len(self.own)
+        kinds, size = len(self.own), len(self.names)
         for _ in range(steps):
-            gap, moves = observed.copy(), np.zeros(3)
+            moves, by_word, rest = np.zeros(3), np.zeros((1 + len(AROUND), kinds)), 0.0
             up, down, stay = np.exp(self.rest[1:])
-            for places, inside, e, forward, backward in self._passes(self.seen):
+            for block, words, shown, inside, e, forward, backward in self._passes(True):
                 odds = forward * backward
-                gap[places[inside]] -= (odds / (1.0 + odds))[inside]
+                gap = np.where(inside, -odds / (1.0 + odds), 0.0)
+                for i, row in enumerate(block):
+                    gap[i, : self.lengths[row]] += labels[row]
+                rest += gap.sum()
+                by_word[0] += np.bincount(words[shown], gap[shown], kinds)
+                for column, place in enumerate(AROUND, 1):
+                    given, at = (words[:, :place], gap[:, -place:]) if place < 0 else (words[:, place:], gap[:, :-place])
+                    by_word[column] += np.bincount(given.ravel(), at.ravel(), kinds)
                 w = np.exp(np.clip(e[:, 1:], -30, 30)) * backward[:, 1:]
                 m = forward[:, :-1]
                 move = np.stack([up * w, down * m, stay * m * w])
                 move = np.where(inside[:, 1:], move / (1.0 + move.sum(axis=0)), 0.0)
                 moves += move.sum(axis=(1, 2))
-            size = len(self.names)
-            gradient = np.bincount(self.own.ravel(), np.repeat(np.bincount(self.seen, gap, kinds), self.own.shape[1]), size)
-            for column, place in enumerate(AROUND):
-                words, given = (self.words[:place], gap[-place:]) if place < 0 else (self.words[place:], gap[:-place])
-                gradient += np.bincount(self.beside[:, column], np.bincount(words, given, kinds), size)
+            gradient = np.bincount(self.own.ravel(), np.repeat(by_word[0], self.own.shape[1]), size)
+            for column in range(len(AROUND)):
+                gradient += np.bincount(self.beside[:, column], by_word[column + 1], size)
             self.weights = self.weights + self.adam_w.step(gradient / total * 1000 - 0.01 * self.weights)
             self.weights[0] = 0.0
-            self.rest = self.rest + self.adam_r.step(np.concatenate([[gap.sum()], pairs - moves]) / total * 1000 - 0.01 * self.rest)
+            self.rest = self.rest + self.adam_r.step(np.concatenate([[rest], pairs - moves]) / total * 1000 - 0.01 * self.rest)
 
 
 def _summary(p: np.ndarray) -> tuple[float, float, float]:
@@ -355,7 +372,10 @@ def _fit_document(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def fit(rows: Iterable[tuple[str | None, int]]) -> Tagger:
     """A tagger from sampled texts and their labels; without both labels an untrained one."""
     unique = sorted({(text or "", int(label)) for text, label in rows})
-    texts, toxic = [tokens(text) for text, _ in unique], np.array([label for _, label in unique], dtype=int)
+    words_met: dict[str, str] = {}  # each word is held once
+    texts = [[words_met.setdefault(w, w) for w in tokens(text)] for text, _ in unique]
+    toxic = np.array([label for _, label in unique], dtype=int)
+    del unique, words_met
     if not 0 < toxic.sum() < len(toxic):
         return Tagger()
     alike = _groups(texts)
@@ -369,18 +389,18 @@ def fit(rows: Iterable[tuple[str | None, int]]) -> Tagger:
         for group, words, labels in zip(alike, texts, sure, strict=True)
     ]
     pieces = [(i, slice(at, at + CHAIN_TOKENS)) for i, words in enumerate(texts) for at in range(0, len(words), CHAIN_TOKENS)]
-    chain = _Chain(
-        [texts[i][part] for i, part in pieces], [hidden[i][part] for i, part in pieces], lexicon, _supported(texts, sure, alike)
-    )
+    others = _supported(texts, sure, alike)
+    chain = _Chain([texts[i][part] for i, part in pieces], [hidden[i][part] for i, part in pieces], lexicon, others)
     labels = [sure[i][part] for i, part in pieces]
     chain.fit(labels, CHAIN_STEPS)
-    for at, ((i, _), p) in enumerate(zip(pieces, chain.marginals(), strict=True)):
-        if toxic[i]:
+    for at, p in chain.marginals():
+        if toxic[pieces[at][0]]:
             labels[at] = np.maximum(labels[at], p >= SURE)
     chain.fit(labels, MORE_STEPS)
     weights = {name: weight for name, weight in zip(chain.names[1:], chain.weights[1:].tolist(), strict=True) if weight}
     tagger = Tagger(weights, float(chain.rest[0]), chain.rest[1:])
-    x = np.array([_summary(p) for p in marginals(tagger.emissions(texts), tagger.steps)])
+    del chain, labels
+    x = np.array([_summary(p) for at in range(0, len(texts), 100) for p in marginals(tagger.emissions(texts[at : at + 100]), tagger.steps)])
     tagger.document = _fit_document(x, toxic.astype(float))
     tagger.forget()
     return tagger
