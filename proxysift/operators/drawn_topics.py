@@ -20,7 +20,8 @@ from uuid import uuid4
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, GroupedData, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -39,16 +40,21 @@ SETTLED = 1e-3
 MOST_STEPS = 100
 # Words of a document up to which its steps are made in one task; 16 MB of numbers for 20 topics.
 LOCAL_WORDS = 100_000
+# Rows of documents that share one array of numbers while their mixes are settled; 1 MB of numbers for 20 topics.
+BLOCK_ROWS = 8192
+# Rows of documents in a task and in each of the groups that it settles one after the other, about; least groups per task.
+TASK_ROWS, GROUP_ROWS, LEAST_GROUPS = 500_000, 60_000, 3
 _END = 0
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
     """Derivative of the logarithm of the gamma function, for positive numbers."""
     x = np.array(x, dtype=float)
+    # Six steps for every number: to choose those that need them takes longer.
     total = np.zeros_like(x)
-    while (small := x < 6).any():
-        total[small] -= 1 / x[small]
-        x[small] += 1
+    for _ in range(6):
+        total -= 1 / x
+        x += 1
     inverse = 1 / (x * x)
     return total + np.log(x) - 0.5 / x - inverse * (1 / 12 - inverse * (1 / 120 - inverse * (1 / 252 - inverse / 240)))
 
@@ -84,6 +90,82 @@ def document_topics(
     return gamma, (counts / (beta @ theta + 1e-100))[:, None] * beta * theta
 
 
+def _blocks(sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Numbers of documents that are settled together, of similar sizes and ``BLOCK_ROWS`` rows or one document."""
+    order = np.argsort(sizes, kind="stable")[::-1]
+    at = 0
+    while at < len(order):
+        # The first is the largest, and the others are filled up to its size.
+        end = at + max(1, BLOCK_ROWS // max(1, int(sizes[order[at]])))
+        yield order[at:end]
+        at = end
+
+
+def many_document_topics(
+    sizes: np.ndarray, counts: np.ndarray, beta: np.ndarray, alpha: np.ndarray, tolerance: float = SETTLED, most_steps: int = MOST_STEPS
+) -> tuple[np.ndarray, np.ndarray]:
+    """``document_topics`` of documents that follow each other in ``counts`` and ``beta``, ``sizes`` rows each.
+
+    Documents step side by side, so that a step costs a few calls for all of them; one that
+    is settled takes no further step. A row of topic weights per document, and one of shares
+    per word.
+    """
+    starts = np.cumsum(sizes) - sizes
+    gammas, shares = np.empty((len(sizes), len(alpha))), np.empty_like(beta)
+    for block in _blocks(sizes):
+        length = int(sizes[block].max())
+        here = np.arange(length) < sizes[block][:, None]
+        rows = (starts[block][:, None] + np.arange(length))[here]
+        n, b = np.zeros(here.shape), np.zeros((*here.shape, len(alpha)))
+        n[here], b[here] = counts[rows], beta[rows]
+        gamma = np.ones((len(block), len(alpha)))
+        theta = np.exp(digamma(gamma) - digamma(gamma.sum(axis=1))[:, None])
+        live, live_n, live_b = np.arange(len(block)), n, b
+        for _ in range(most_steps):
+            part = live_n / ((live_b @ theta[live][:, :, None])[:, :, 0] + 1e-100)
+            new = alpha + theta[live] * (part[:, None, :] @ live_b)[:, 0, :]
+            moving = np.abs(new - gamma[live]).mean(axis=1) > tolerance
+            gamma[live] = new
+            theta[live] = np.exp(digamma(new) - digamma(new.sum(axis=1))[:, None])
+            if not moving.all():
+                live, live_n, live_b = live[moving], live_n[moving], live_b[moving]
+                if not len(live):
+                    break
+        gammas[block] = gamma
+        part = n / ((b @ theta[:, :, None])[:, :, 0] + 1e-100)
+        shares[rows] = (part[:, :, None] * b * theta[:, None, :])[here]
+    return gammas, shares
+
+
+def by_documents(entries: DataFrame, rows: int) -> GroupedData:
+    """``entries`` in groups of whole documents, more of them than cores and of a bounded number of rows.
+
+    A group is of documents whose ``clientip`` has the same hash, unless one document is larger.
+    """
+    tasks = max(3 * entries.sparkSession.sparkContext.defaultParallelism, rows // TASK_ROWS)
+    groups = tasks * max(LEAST_GROUPS, rows // tasks // GROUP_ROWS)
+    group = F.pmod(F.xxhash64("clientip"), F.lit(groups))
+    # A number is named, so that few bytes, which take long here, are not merged into few tasks.
+    return entries.withColumn("_group", group).repartition(tasks, "_group").groupBy("_group")
+
+
+def _documents(rows: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """The rows sorted by document, and each document's number of them."""
+    codes, names = pd.factorize(rows.column("clientip").to_pandas(), use_na_sentinel=False)
+    return rows.take(pa.array(np.argsort(codes, kind="stable"))), np.bincount(codes, minlength=len(names))
+
+
+def _matrix(arrays: pa.ChunkedArray, topics: int) -> np.ndarray:
+    """A row per array; each has a number per topic."""
+    return arrays.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, topics)
+
+
+def _arrays(matrix: np.ndarray) -> pa.Array:
+    """An array per row of a matrix."""
+    offsets = np.arange(0, matrix.size + 1, matrix.shape[1], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(matrix).ravel()))
+
+
 def first_weights(word: int, topics: int, seed: int) -> np.ndarray:
     """The weights that a word starts with; they depend on word and seed alone."""
     return np.random.default_rng((seed, word)).gamma(SHAPE, 1 / SHAPE, topics)
@@ -195,20 +277,29 @@ def fit_drawn(entries: DataFrame, words: DataFrame, documents: int, params: Anal
         return weights * factor + growth[now] - growth[since] * factor
 
     def learner(now: int, expected_total: np.ndarray, prior: np.ndarray):
-        def learn(rows: pd.DataFrame) -> pd.DataFrame:
-            weights = np.array([
-                aged(first_weights(int(word), k, seed), 0, now) if first else aged(np.asarray(held), int(at), now)
-                for word, first, held, at in zip(rows["word_number"], rows["first"], rows["weights"], rows["at"], strict=True)
-            ])
-            counts = rows["word_count"].to_numpy(dtype=float)
-            gamma, shares = document_topics(counts, np.exp(digamma(weights) - expected_total), prior)
-            found = pd.DataFrame(shares, columns=names).assign(
-                word_number=rows["word_number"].to_numpy(), next=rows["next"].to_numpy(), weights=list(weights)
-            )
-            own = pd.DataFrame([digamma(gamma) - digamma(gamma.sum()[None])], columns=names).assign(
-                word_number=-1, next=-1, weights=[np.zeros(k)]
-            )
-            return pd.concat([found, own])[["word_number", "next", "weights", *names]]
+        def learn(rows: pa.Table) -> pa.Table:
+            rows, sizes = _documents(rows)
+            words, first_row, number = np.unique(rows.column("word_number").to_numpy(), return_index=True, return_inverse=True)
+            # A word's rows hold the same weights.
+            held = rows.select(["first", "next", "weights", "at"]).take(pa.array(first_row))
+            first, at = held.column("first").to_numpy(), held.column("at").fill_null(0).to_numpy()
+            weights = np.empty((len(words), k))
+            weights[~first] = _matrix(held.column("weights").filter(pa.array(~first)), k)
+            weights[first] = np.array([first_weights(int(w), k, seed) for w in words[first]]).reshape(-1, k)
+            for since in np.unique(at):
+                weights[at == since] = aged(weights[at == since], int(since), now)
+            beta = np.exp(digamma(weights) - expected_total)
+            counts = rows.column("word_count").to_numpy().astype(float)
+            gamma, shares = many_document_topics(sizes, counts, beta[number], prior)
+            # The group's sums: a row per word, and one of the documents' own numbers.
+            order = np.argsort(number, kind="stable")
+            sums = np.add.reduceat(shares[order], np.searchsorted(number[order], np.arange(len(words))))
+            own = (digamma(gamma) - digamma(gamma.sum(axis=1))[:, None]).sum(axis=0)
+            sums = np.vstack([sums, own])
+            return pa.table([
+                pa.array(np.append(words, -1)), pa.array(np.append(held.column("next").to_numpy(), -1).astype(np.int32)),
+                _arrays(np.vstack([weights, np.zeros(k)])), *[pa.array(np.ascontiguousarray(column)) for column in sums.T],
+            ], names=["word_number", "next", "weights", *names])
 
         return learn
 
@@ -223,12 +314,12 @@ def fit_drawn(entries: DataFrame, words: DataFrame, documents: int, params: Anal
             told = None
             if any_state := (t > 1 and _there(spark, f"{path}/state/next={t}")):
                 told = spark.read.schema("word_number bigint, weights array<double>, at int").parquet(f"{path}/state/next={t}")
-            joined = batch.join(told, "word_number", "left") if any_state else batch.select(
+            joined = lookup_join(batch, told, "word_number") if any_state else batch.select(
                 "*", F.lit(None).cast("array<double>").alias("weights"), F.lit(None).cast("int").alias("at")
             )
             learn = learner(t - 1, digamma(totals), alpha.copy())
             doubles = ", ".join(f"{name} double" for name in names)
-            learned = joined.groupBy("clientip").applyInPandas(learn, f"word_number bigint, next int, weights array<double>, {doubles}")
+            learned = by_documents(joined, rows).applyInArrow(learn, f"word_number bigint, next int, weights array<double>, {doubles}")
             sums = learned.groupBy("word_number", "next").agg(F.first("weights").alias("weights"), *[F.sum(n).alias(n) for n in names])
             seen = Observation()
             is_word = F.col("word_number") >= 0
@@ -307,24 +398,30 @@ def mix_by_joins(
     topics = len(alpha)
     prior = np.array(alpha)
     beta = durable(expected_rows(weights, topics))
-    joined = durable(lookup_join(
-        entries.select("clientip", F.col("word_number").cast("bigint").alias("word_number"), F.col("word_count").cast("double").alias("n")),
-        beta, "word_number", "inner", limit_bytes,
-    ).select("clientip", "n", "beta"))
+    entries = entries.select(
+        "clientip", F.col("word_number").cast("bigint").alias("word_number"), F.col("word_count").cast("double").alias("n")
+    )
+
+    def with_beta(some: DataFrame) -> DataFrame:
+        return lookup_join(some, beta, "word_number", "inner", limit_bytes).select("clientip", "n", "beta")
 
-    def settle(rows: pd.DataFrame) -> pd.DataFrame:
-        gamma, _ = document_topics(rows["n"].to_numpy(), np.array(rows["beta"].tolist()), prior, tolerance, most_steps)
-        return pd.DataFrame({"clientip": rows["clientip"].iloc[:1], "gamma": [gamma]})
+    def settle(rows: pa.Table) -> pa.Table:
+        rows, sizes = _documents(rows)
+        gamma, _ = many_document_topics(sizes, rows.column("n").to_numpy(), _matrix(rows.column("beta"), topics), prior, tolerance, most_steps)
+        firsts = rows.column("clientip").take(pa.array(np.cumsum(sizes) - sizes))
+        return pa.table([firsts, _arrays(gamma)], names=["clientip", "gamma"])
 
-    sizes = joined.groupBy("clientip").agg(F.count(F.lit(1)).alias("words"))
+    sizes = durable(entries.groupBy("clientip").agg(F.count(F.lit(1)).alias("words")))
     large = durable(sizes.where(F.col("words") > local_words).select("clientip"))
-    small = joined
+    small = entries
     found = []
     if not large.isEmpty():
-        marked = durable(lookup_join(joined, large.withColumn("large", F.lit(True)), "clientip", "left", limit_bytes))
-        small = marked.where("large IS NULL").select("clientip", "n", "beta")
-        found += _stepwise(marked.where("large").select("clientip", "n", "beta"), large, alpha, tolerance, most_steps, limit_bytes)
-    found.append(small.groupBy("clientip").applyInPandas(settle, "clientip string, gamma array<double>"))
+        marked = durable(lookup_join(entries, large.withColumn("large", F.lit(True)), "clientip", "left", limit_bytes))
+        small = marked.where("large IS NULL").select("clientip", "word_number", "n")
+        spread = durable(with_beta(marked.where("large").select("clientip", "word_number", "n")))
+        found += _stepwise(spread, large, alpha, tolerance, most_steps, limit_bytes)
+    rows = sizes.where(F.col("words") <= local_words).agg(F.sum("words")).first()[0] or 0
+    found.append(by_documents(with_beta(small), rows).applyInArrow(settle, "clientip string, gamma array<double>"))
     whole = found[0]
     for one in found[1:]:
         whole = whole.unionByName(one)
@@ -371,6 +468,8 @@ def log_likelihood(entries: DataFrame, mix: DataFrame, weights: DataFrame, topic
     shares = F.array(*[F.get("weights", F.lit(i)) / F.lit(float(sums[i])) for i in range(topics)])
     rows = weights.select(F.col("word_number").cast("bigint").alias("word_number"), shares.alias("beta"))
     by_client = mix.select(F.col("document_name").alias("clientip"), widen(F.col("topic_prob_mix")).alias("theta"))
-    met = lookup_join(lookup_join(entries.withColumn("word_number", F.col("word_number").cast("bigint")), durable(rows), "word_number", "inner"), durable(by_client), "clientip", "inner")
+    # The clients come first: where one of the tables is large, the entries are shuffled without the other's arrays.
+    mixed = lookup_join(entries.withColumn("word_number", F.col("word_number").cast("bigint")), durable(by_client), "clientip", "inner")
+    met = lookup_join(mixed, durable(rows), "word_number", "inner")
     log = F.ln(dot(F.col("beta"), F.col("theta"), topics))
     return met.agg((F.sum(log * F.col("word_count")) / F.sum("word_count")).alias("x")).first().x

@@ -135,6 +135,38 @@ def test_mix_equals_sparks_transform(corpus, spark, limit_bytes):
     assert max(abs(a - b) for name in want for a, b in zip(mix[name], want[name], strict=True)) < 1e-3
 
 
+def test_documents_side_by_side_settle_as_alone(monkeypatch):
+    rng = np.random.default_rng(5)
+    sizes = np.array([3, 1, 40, 7, 7, 300, 2, 1])
+    counts, beta = rng.integers(1, 9, sizes.sum()).astype(float), rng.gamma(1.0, 1.0, (sizes.sum(), K))
+    alpha = np.array([0.1, 0.5, 1.0, 2.0])
+    for rows in (dt.BLOCK_ROWS, 50, 1):
+        monkeypatch.setattr(dt, "BLOCK_ROWS", rows)
+        for tolerance, steps in ((1e-3, 100), (1e-9, 4)):
+            gamma, shares = dt.many_document_topics(sizes, counts, beta, alpha, tolerance, steps)
+            at = 0
+            for i, size in enumerate(sizes):
+                one = slice(at, at := at + size)
+                g, s = dt.document_topics(counts[one], beta[one], alpha, tolerance, steps)
+                assert np.allclose(gamma[i], g, rtol=1e-9) and np.allclose(shares[one], s, rtol=1e-9)
+
+
+def test_a_task_settles_many_documents(spark):
+    """Few bytes are spread over the cores, and Python is not called per document."""
+    entries = spark.range(20_000).select((F.col("id") / 10).cast("int").cast("string").alias("clientip"), F.lit(1).alias("n"))
+    cores = spark.sparkContext.defaultParallelism
+
+    def sized(rows):
+        import pyarrow as pa
+
+        return pa.table({"documents": [len(set(rows.column("clientip").to_pylist()))], "rows": [rows.num_rows]})
+
+    found = dt.by_documents(entries, 20_000).applyInArrow(sized, "documents bigint, rows bigint")
+    tasks = durable(found.select("*", F.spark_partition_id().alias("task")))
+    assert tasks.agg(F.sum("documents"), F.sum("rows")).first()[:] == (2000, 20_000)
+    assert tasks.count() <= 3 * 3 * cores and tasks.select("task").distinct().count() > cores
+
+
 def test_large_documents_are_settled_by_joins(corpus, spark):
     """The same numbers where no document fits one task, and where some do."""
     _, words, entries = corpus
