@@ -102,14 +102,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
 
 
-def proxy_view(spark: SparkSession, sf_dir: str, bad_hours: bool = True) -> DataFrame:
-    """The analysis input with its ``event_id``."""
+def proxy_view(spark: SparkSession, sf_dir: str, bad_hours: bool = True, spread: bool = False) -> DataFrame:
+    """The analysis input with its ``event_id``; ``spread`` deals the events evenly over the cores first."""
+    events = table(spark, sf_dir, "events")
+    if spread:
+        events = events.repartition(spark.sparkContext.defaultParallelism)
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     text = PROXY_SQL.format(
         time=BAD_HOUR_SQL.format(stamp=SPARK_STAMP) if bad_hours else SPARK_STAMP,
         code=CODE_SQL, n_pages=pages.count(), events="{events}", pages="{pages}",
     )
-    return spark.sql(text, events=table(spark, sf_dir, "events"), pages=pages)
+    return spark.sql(text, events=events, pages=pages)
+
+
+def stored_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The analysis input as a stored table, dealt evenly over the cores.
+
+    Its rows are made once. Read as a view, every condition of the cleaning would make the
+    columns that it names again, in as few tasks as the events have row groups.
+    """
+    return durable(proxy_view(spark, sf_dir, spread=True))
 
 
 def ranked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +147,7 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.clean_records(proxy_view(spark, sf_dir))
+    return op.clean_records(stored_view(spark, sf_dir))
 
 
 def worded(spark: SparkSession, sf_dir: str) -> DataFrame:

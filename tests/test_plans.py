@@ -45,6 +45,19 @@ def test_words_need_no_shuffle_and_no_python(spark, stored):
     assert counted.count("Exchange hashpartitioning") == 1
 
 
+def test_analysis_input_is_made_once_and_spread(spark, tmp_path):
+    """One row group of events: every core has a share, and cleaning reads stored columns."""
+    for name in ("events", "pages"):
+        t.table(spark, SF, name).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    records = t.cleaned(spark, str(tmp_path))
+    assert "Join" not in plan(records) and "regexp" not in plan(records)
+    files = t.stored_view(spark, str(tmp_path)).groupBy("_metadata.file_path").agg(F.count("*").alias("rows"))
+    sizes = [row.rows for row in files.collect()]
+    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < 2 * min(sizes)
+    whole = op.clean_records(t.proxy_view(spark, str(tmp_path)))
+    assert records.exceptAll(whole).isEmpty() and whole.exceptAll(records).isEmpty() and not whole.isEmpty()
+
+
 def test_lines_are_split_once(spark):
     parsed = op.parse_lines(t.raw_lines(spark, SF))
     assert plan(op.record_table(parsed)).count("array_remove") == 1
